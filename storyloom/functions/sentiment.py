@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from storyloom import lexicons
 from storyloom.functions.lookup import hash_lookup
-from storyloom.functions.text import SPACE, text_or_empty
+from storyloom.functions.text import plain_spaces, text_or_empty
 
 # Fixed values of the published valence model.
 CAPS_STEP = 0.733
@@ -43,7 +43,7 @@ def marks_table(lex: lexicons.SentimentLexicon) -> dict:
 
 def words_of(text: Column) -> Column:
     """Space-separated words without edge punctuation, unless two or fewer characters remain."""
-    chunks = F.filter(F.split(text_or_empty(text), f"[{SPACE}]+"), lambda w: w != "")
+    chunks = F.filter(F.split(plain_spaces(text_or_empty(text)), r"\s+"), lambda w: w != "")
 
     def strip(w):
         bare = F.btrim(w, F.lit(PUNCTUATION))
@@ -154,8 +154,9 @@ def add_valence(df: DataFrame, text: str, lex: lexicons.SentimentLexicon) -> Dat
         return v * side
 
     positions = F.filter(
-        F.transform("_marks", lambda m, i: F.when(m["valence"].isNotNull() & m["booster"].isNull(), i)),
-        lambda i: i.isNotNull()
+        "_hits",
+        lambda i: F.get("_marks", i)["valence"].isNotNull()
+        & F.get("_marks", i)["booster"].isNull()
         & ~F.coalesce((F.get("_lower", i) == "kind") & (F.get("_lower", i + 1) == "of"), F.lit(False)),
     )
     c = text_or_empty(F.col(text))
@@ -202,20 +203,17 @@ def add_valence(df: DataFrame, text: str, lex: lexicons.SentimentLexicon) -> Dat
 def add_tone(df: DataFrame) -> DataFrame:
     """Add ``textblob_polarity`` and ``textblob_subjectivity``. Needs the word arrays."""
 
-    def rated(m, i):
-        before, earlier = F.get("_marks", i - 1), F.get("_marks", i - 2)
+    def rated(i):
+        m, before, earlier = (F.get("_marks", i - k) for k in range(3))
         factor = F.coalesce(before["intensity"], F.lit(1.0))
         negated = F.coalesce(before["negation"], F.lit(False)) | F.coalesce(
             before["intensity"].isNotNull() & earlier["negation"], F.lit(False)
         )
         factor = F.when(negated, 1.0 / factor).otherwise(factor)
         polarity = F.greatest(F.lit(-1.0), F.least(F.lit(1.0), m["polarity"] * factor))
-        return F.when(
-            m["polarity"].isNotNull(),
-            F.struct(
-                (polarity * F.when(negated, -0.5).otherwise(1.0)).alias("p"),
-                F.least(F.lit(1.0), m["subjectivity"] * factor).alias("s"),
-            ),
+        return F.struct(
+            (polarity * F.when(negated, -0.5).otherwise(1.0)).alias("p"),
+            F.least(F.lit(1.0), m["subjectivity"] * factor).alias("s"),
         )
 
     def mean(name):
@@ -223,7 +221,10 @@ def add_tone(df: DataFrame) -> DataFrame:
         return F.when(F.size("_rated") > 0, total / F.size("_rated")).otherwise(0.0)
 
     return (
-        df.withColumn("_rated", F.filter(F.transform("_marks", rated), lambda r: r.isNotNull()))
+        df.withColumn(
+            "_rated",
+            F.transform(F.filter("_hits", lambda i: F.get("_marks", i)["polarity"].isNotNull()), rated),
+        )
         .withColumns({"textblob_polarity": mean("p"), "textblob_subjectivity": mean("s")})
         .drop("_rated")
     )
@@ -256,12 +257,20 @@ def add_sentiment(
 ) -> DataFrame:
     """Add the eight sentiment columns."""
     find = hash_lookup(marks_table(lex), MARK_TYPE)
-    upper = F.size(F.filter("_words", _is_upper))
     arrays = (
         df.withColumn("_words", words_of(F.col(text)))
         .withColumn("_lower", F.transform("_words", F.lower))
         .withColumn("_marks", F.transform("_lower", find))
-        .withColumn("_caps", (upper > 0) & (upper < F.size("_words")))
+        .withColumns(
+            {
+                # some words in capitals, but not all
+                "_caps": F.exists("_words", lambda w: ~_is_upper(w)) & F.exists("_words", _is_upper),
+                # positions of the few words that are in any table
+                "_hits": F.filter(
+                    F.transform("_marks", lambda m, i: F.when(m.isNotNull(), i)), lambda i: i.isNotNull()
+                ),
+            }
+        )
     )
     return (
         add_tone(add_valence(arrays, text, lex))
@@ -271,5 +280,5 @@ def add_sentiment(
                 "textblob_label": textblob_label(F.col("textblob_polarity"), labels),
             }
         )
-        .drop("_words", "_lower", "_marks", "_caps")
+        .drop("_words", "_lower", "_marks", "_caps", "_hits")
     )

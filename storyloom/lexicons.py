@@ -155,15 +155,16 @@ LEMMAS = {
 }
 
 # Suffix rules (pattern, replacement), tried in order; the first that matches is used.
+_DOUBLED = "bdgklmnprt"
 LEMMA_SUFFIXES = [
     (r"^(.{2,})ies$", "$1y"),
     (r"^(.+(?:ss|sh|ch|x|zz))es$", "$1"),
-    (r"^(.+(?:[^su]))s$", "$1"),
+    (r"^(.+[^su])s$", "$1"),
     (r"^(.{2,})ied$", "$1y"),
-    (r"^(.*[aeiouy].*)([bdgklmnprt])\2ed$", "$1$2"),
+    *[(rf"^(.*[aeiouy].*{c}){c}ed$", "$1") for c in _DOUBLED],
     (r"^(.*[aeiouy].*(?:at|iz|ov|iv|uc|ut|ng|rg|dg|us|os))ed$", "$1e"),
     (r"^(.*[aeiouy].*[^e])ed$", "$1"),
-    (r"^(.*[aeiouy].*)([bdgklmnprt])\2ing$", "$1$2"),
+    *[(rf"^(.*[aeiouy].*{c}){c}ing$", "$1") for c in _DOUBLED],
     (r"^(.*[aeiouy].*(?:at|iz|ov|iv|uc|ut|rg|dg|us|os))ing$", "$1e"),
     (r"^(.*[aeiouy].*)ing$", "$1"),
 ]
