@@ -8,6 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, functions as F
 
 from storyloom import lexicons
+from storyloom.functions.let import let
 from storyloom.functions.text import MASK, WORD_AFTER, WORD_BEFORE, mask_redactions
 
 ENTITY_TYPE = "map<string,array<string>>"
@@ -79,30 +80,32 @@ def label_of(match: Column, rules) -> Column:
     return branch
 
 
-def add_entities(
-    df: DataFrame, text: str = "narrative", rules=None, mask_first: bool = False, counts: bool = True
-) -> DataFrame:
-    """Add ``entities`` (label -> sorted distinct texts) and the per-label counts."""
+def entities_of(text: Column, rules=None, mask_first: bool = False) -> Column:
+    """Map of label -> sorted distinct texts; empty for a blank text."""
     rules = DEFAULT_RULES if rules is None else rules
-    c = F.coalesce(F.col(text), F.lit(""))
+    c = F.coalesce(text, F.lit(""))
     if mask_first:
         c = mask_redactions(c)
-    # The word-boundary look-around is not part of the group, so it is not returned.
     found = F.regexp_extract_all(c, F.lit(alternation(rules)), F.lit(0))
-    found = F.filter(found, lambda m: ~F.contains(m, F.lit(MASK)))
-    typed = F.transform(F.array_distinct(found), lambda m: F.struct(label_of(m, rules).alias("label"), m.alias("text")))
+    found = F.filter(F.array_distinct(found), lambda m: ~F.contains(m, F.lit(MASK)))
+    typed = F.transform(found, lambda m: F.struct(label_of(m, rules).alias("label"), m.alias("text")))
     labels = list(dict.fromkeys(r.label for r in rules))
 
-    def of(label):
-        hits = F.filter("_typed", lambda e: e["label"] == label)
-        return F.array_sort(F.transform(hits, lambda e: e["text"]))
+    def grouped(pairs):
+        def of(label):
+            return F.array_sort(F.transform(F.filter(pairs, lambda e: e["label"] == label), lambda e: e["text"]))
 
-    every = F.map_from_arrays(F.array(*map(F.lit, labels)), F.array(*map(of, labels)))
-    out = (
-        df.withColumn("_typed", typed)
-        .withColumn("entities", F.map_filter(every, lambda k, v: F.size(v) > 0))
-        .drop("_typed")
-    )
+        every = F.map_from_arrays(F.array(*map(F.lit, labels)), F.array(*map(of, labels)))
+        return F.map_filter(every, lambda k, v: F.size(v) > 0)
+
+    return let(typed, grouped)
+
+
+def add_entities(
+    df: DataFrame, text: str = "narrative", rules=None, mask_first: bool = False, counts: bool = True
+) -> DataFrame:
+    """Add ``entities`` and the per-label counts."""
+    out = df.withColumn("entities", entities_of(F.col(text), rules, mask_first))
     return add_entity_counts(out) if counts else out
 
 

@@ -8,9 +8,12 @@ so scoring needs no explode, no window and no shuffle of the token stream.
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from storyloom import lexicons
+from storyloom.functions.let import let
 from storyloom.functions.lookup import hash_lookup
 from storyloom.functions.text import plain_spaces, text_or_empty
 
@@ -60,11 +63,22 @@ def _count(text: Column, char: str) -> Column:
     return F.length(text) - F.length(F.replace(text, F.lit(char), F.lit("")))
 
 
-def _word_valence(i: Column, lex: lexicons.SentimentLexicon, phrase, phrase_booster) -> Column:
+@dataclass(frozen=True)
+class Words:
+    """The word arrays of one text."""
+
+    shown: Column  # as written
+    lower: Column
+    marks: Column  # table record per word, null for most
+    caps: Column  # some words in capitals, but not all
+    hits: Column  # positions of the words that have a record
+
+
+def _word_valence(i: Column, t: Words, lex: lexicons.SentimentLexicon, phrase, phrase_booster) -> Column:
     """Valence of the listed word at ``i`` after capitals, boosters, negations and idioms."""
-    word = lambda k: F.get("_lower", i + k)
-    mark = lambda k: F.get("_marks", i + k)
-    upper = lambda k: F.col("_caps") & _is_upper(F.get("_words", i + k))
+    word = lambda k: F.get(t.lower, i + k)
+    mark = lambda k: F.get(t.marks, i + k)
+    upper = lambda k: t.caps & _is_upper(F.get(t.shown, i + k))
     listed = lambda k: mark(k)["valence"].isNotNull()
 
     base = mark(0)["valence"]
@@ -78,10 +92,9 @@ def _word_valence(i: Column, lex: lexicons.SentimentLexicon, phrase, phrase_boos
         .when(F.coalesce((word(0) == "no") & listed(1), F.lit(False)), F.lit(0.0))
         .otherwise(base)
     )
-    start = F.aggregate(
-        F.array(start),
-        F.lit(0.0),
-        lambda acc, v: F.when(upper(0), F.when(v > 0, v + CAPS_STEP).otherwise(v - CAPS_STEP)).otherwise(v),
+    start = let(
+        start,
+        lambda v: F.when(upper(0), F.when(v > 0, v + CAPS_STEP).otherwise(v - CAPS_STEP)).otherwise(v),
     )
 
     def boost(v, k):
@@ -116,23 +129,25 @@ def _word_valence(i: Column, lex: lexicons.SentimentLexicon, phrase, phrase_boos
     def step(v, k):
         active = (i > k) & ~listed(-k - 1)
         factor = negation_factor(k)
-        added = F.aggregate(F.array(v), F.lit(0.0), lambda a, x: (x + boost(x, k)) * factor)
+        added = (v + boost(v, k)) * factor
         if lex.idioms or lex.phrase_boosters:
-            added = F.when(k == 2, _idioms(added, i, phrase, phrase_booster)).otherwise(added)
+            added = let(
+                added, lambda x: F.when(k == 2, _idioms(x, i, t, phrase, phrase_booster)).otherwise(x)
+            )
         return F.when(active, added).otherwise(v)
 
-    # The accumulator must keep one type and one binding, hence the fold over 0, 1, 2.
+    # one step per distance 0, 1, 2
     scored = F.aggregate(F.array(F.lit(0), F.lit(1), F.lit(2)), start, step)
     least = (
         F.coalesce((word(-1) == "least") & ~listed(-1), F.lit(False))
         & ~F.coalesce(word(-2).isin("at", "very"), F.lit(False))
     )
-    return F.when(least, scored * NEGATE).otherwise(scored)
+    return scored * F.when(least, NEGATE).otherwise(1.0)
 
 
-def _idioms(v: Column, i: Column, phrase, phrase_booster) -> Column:
+def _idioms(v: Column, i: Column, t: Words, phrase, phrase_booster) -> Column:
     def words(first, count):
-        return F.array_join(F.slice("_lower", i + first + 1, F.lit(count)), " ")
+        return F.array_join(F.slice(t.lower, i + first + 1, F.lit(count)), " ")
 
     # at this point three words precede position i
     before = [phrase(words(f, n)) for f, n in ((-1, 2), (-2, 3), (-2, 2), (-3, 3), (-3, 2))]
@@ -142,92 +157,86 @@ def _idioms(v: Column, i: Column, phrase, phrase_booster) -> Column:
     return replaced + extra[0] + extra[1] + extra[2]
 
 
-def add_valence(df: DataFrame, text: str, lex: lexicons.SentimentLexicon) -> DataFrame:
-    """Add ``vader_compound, vader_neg, vader_neu, vader_pos``. Needs the word arrays."""
+def _valence(text: Column, t: Words, lex: lexicons.SentimentLexicon) -> Column:
+    """Struct of ``compound, neg, neu, pos``."""
     phrase = hash_lookup(lex.idioms, "double")
     phrase_booster = hash_lookup(lex.phrase_boosters, "double")
+    contrast = F.array_position(t.lower, lex.contrast).cast("int") - 1
+
+    def scored(i):
+        mark, word = F.get(t.marks, i), F.get(t.lower, i)
+        kind_of = F.coalesce((word == "kind") & (F.get(t.lower, i + 1) == "of"), F.lit(False))
+        return mark["valence"].isNotNull() & mark["booster"].isNull() & ~kind_of
 
     def score(i):
-        contrast = F.array_position("_lower", lex.contrast).cast("int") - 1
-        v = _word_valence(i, lex, phrase, phrase_booster)
         side = F.when(contrast < 0, 1.0).when(i < contrast, 0.5).when(i > contrast, 1.5).otherwise(1.0)
-        return v * side
+        return _word_valence(i, t, lex, phrase, phrase_booster) * side
 
-    positions = F.filter(
-        "_hits",
-        lambda i: F.get("_marks", i)["valence"].isNotNull()
-        & F.get("_marks", i)["booster"].isNull()
-        & ~F.coalesce((F.get("_lower", i) == "kind") & (F.get("_lower", i + 1) == "of"), F.lit(False)),
-    )
-    c = text_or_empty(F.col(text))
-    questions = _count(c, "?")
-    emphasis = F.least(_count(c, "!"), F.lit(4)) * 0.292 + F.when(questions <= 1, 0.0).when(
+    questions = _count(text, "?")
+    emphasis = F.least(_count(text, "!"), F.lit(4)) * 0.292 + F.when(questions <= 1, 0.0).when(
         questions <= 3, questions * 0.18
     ).otherwise(0.96)
-    total = lambda keep, shift: F.aggregate(
-        F.filter("_scores", keep), F.lit(0.0), lambda a, v: a + v + F.lit(shift)
-    )
-    out = (
-        df.withColumn("_positions", positions)
-        .withColumn("_scores", F.transform("_positions", score))
-        .withColumns(
-            {
-                "_sum": total(lambda v: v.isNotNull(), 0.0),
-                "_pos": total(lambda v: v > 0, 1.0),
-                "_neg": total(lambda v: v < 0, -1.0),
-                "_neu": (F.size("_words") - F.size(F.filter("_scores", lambda v: v != 0))).cast("double"),
-                "_emph": emphasis,
-            }
+
+    def totals(scores):
+        add = lambda keep, shift: F.aggregate(
+            F.filter(scores, keep), F.lit(0.0), lambda a, v: a + v + F.lit(shift)
         )
-        .withColumns(
-            {
-                "_sum": F.col("_sum") + F.signum("_sum") * F.col("_emph"),
-                "_pos": F.col("_pos") + F.when(F.col("_pos") > -F.col("_neg"), F.col("_emph")).otherwise(0.0),
-                "_neg": F.col("_neg") - F.when(F.col("_pos") < -F.col("_neg"), F.col("_emph")).otherwise(0.0),
-            }
+        rest = F.size(t.shown) - F.size(F.filter(scores, lambda v: v != 0))
+        return F.struct(
+            add(lambda v: v.isNotNull(), 0.0).alias("sum"),
+            add(lambda v: v > 0, 1.0).alias("pos"),
+            (-add(lambda v: v < 0, -1.0)).alias("neg"),
+            rest.cast("double").alias("neu"),
+            emphasis.alias("emph"),
         )
-    )
-    weight = F.col("_pos") - F.col("_neg") + F.col("_neu")
-    some = F.size("_words") > 0
-    share = lambda x: F.round(F.when(some, x / F.nullif(weight, F.lit(0.0))).otherwise(0.0), 3)
-    return out.withColumns(
-        {
-            "vader_compound": F.round(F.col("_sum") / F.sqrt(F.col("_sum") * F.col("_sum") + NORM), 4),
-            "vader_neg": share(-F.col("_neg")),
-            "vader_neu": F.when(some, share(F.col("_neu"))).otherwise(1.0),
-            "vader_pos": share(F.col("_pos")),
-        }
-    ).drop("_positions", "_scores", "_sum", "_pos", "_neg", "_neu", "_emph")
-
-
-def add_tone(df: DataFrame) -> DataFrame:
-    """Add ``textblob_polarity`` and ``textblob_subjectivity``. Needs the word arrays."""
+
+    def emphasised(q):
+        pos, neg, emph = q["pos"], q["neg"], q["emph"]
+        return F.struct(
+            (q["sum"] + F.signum(q["sum"]) * emph).alias("sum"),
+            (pos + F.when(pos > neg, emph).otherwise(0.0)).alias("pos"),
+            (neg + F.when(pos < neg, emph).otherwise(0.0)).alias("neg"),
+            q["neu"].alias("neu"),
+        )
+
+    def shares(q):
+        weight = q["pos"] + q["neg"] + q["neu"]
+        share = lambda x, blank: F.when(weight > 0, F.round(x / weight, 3)).otherwise(blank)
+        return F.struct(
+            F.round(q["sum"] / F.sqrt(q["sum"] * q["sum"] + NORM), 4).alias("compound"),
+            share(q["neg"], 0.0).alias("neg"),
+            share(q["neu"], 1.0).alias("neu"),
+            share(q["pos"], 0.0).alias("pos"),
+        )
+
+    scores = F.transform(F.filter(t.hits, scored), score)
+    return let(let(let(scores, totals), emphasised), shares)
+
+
+def _tone(t: Words) -> Column:
+    """Struct of ``polarity, subjectivity``: means over the rated words."""
 
     def rated(i):
-        m, before, earlier = (F.get("_marks", i - k) for k in range(3))
-        factor = F.coalesce(before["intensity"], F.lit(1.0))
+        m, before, earlier = (F.get(t.marks, i - k) for k in range(3))
+        plain = F.coalesce(before["intensity"], F.lit(1.0))
         negated = F.coalesce(before["negation"], F.lit(False)) | F.coalesce(
             before["intensity"].isNotNull() & earlier["negation"], F.lit(False)
         )
-        factor = F.when(negated, 1.0 / factor).otherwise(factor)
+        factor = F.when(negated, 1.0 / plain).otherwise(plain)
         polarity = F.greatest(F.lit(-1.0), F.least(F.lit(1.0), m["polarity"] * factor))
         return F.struct(
             (polarity * F.when(negated, -0.5).otherwise(1.0)).alias("p"),
             F.least(F.lit(1.0), m["subjectivity"] * factor).alias("s"),
         )
 
-    def mean(name):
-        total = F.aggregate("_rated", F.lit(0.0), lambda a, r: a + r[name])
-        return F.when(F.size("_rated") > 0, total / F.size("_rated")).otherwise(0.0)
+    def means(found):
+        mean = lambda name: F.when(
+            F.size(found) > 0, F.aggregate(found, F.lit(0.0), lambda a, r: a + r[name]) / F.size(found)
+        ).otherwise(0.0)
+        return F.struct(mean("p").alias("polarity"), mean("s").alias("subjectivity"))
 
-    return (
-        df.withColumn(
-            "_rated",
-            F.transform(F.filter("_hits", lambda i: F.get("_marks", i)["polarity"].isNotNull()), rated),
-        )
-        .withColumns({"textblob_polarity": mean("p"), "textblob_subjectivity": mean("s")})
-        .drop("_rated")
-    )
+    listed = F.filter(t.hits, lambda i: F.get(t.marks, i)["polarity"].isNotNull())
+    return let(F.transform(listed, rated), means)
 
 
 def five_way(score: Column, strong: float, labels=lexicons.SENTIMENT_LABELS) -> Column:
@@ -249,6 +258,56 @@ def textblob_label(polarity: Column, labels=lexicons.SENTIMENT_LABELS) -> Column
     return five_way(polarity, 0.3, labels)
 
 
+def sentiment_of(
+    text: Column,
+    lex: lexicons.SentimentLexicon = lexicons.SENTIMENT,
+    labels=lexicons.SENTIMENT_LABELS,
+) -> Column:
+    """Struct of the eight sentiment fields of a text."""
+    find = hash_lookup(marks_table(lex), MARK_TYPE)
+
+    def of_words(c, shown, lower, marks):
+        caps = F.exists(shown, lambda w: ~_is_upper(w)) & F.exists(shown, _is_upper)
+        hits = F.filter(F.transform(marks, lambda m, i: F.when(m.isNotNull(), i)), lambda i: i.isNotNull())
+        return let(
+            F.struct(caps.alias("caps"), hits.alias("hits")),
+            lambda x: _both(c, Words(shown, lower, marks, x["caps"], x["hits"])),
+        )
+
+    def _both(c, t):
+        return let(F.struct(_valence(c, t, lex).alias("v"), _tone(t).alias("t")), fields)
+
+    def fields(x):
+        compound, polarity = x["v"]["compound"], x["t"]["polarity"]
+        return F.struct(
+            compound.alias("vader_compound"),
+            x["v"]["neg"].alias("vader_neg"),
+            x["v"]["neu"].alias("vader_neu"),
+            x["v"]["pos"].alias("vader_pos"),
+            vader_label(compound, labels).alias("vader_label"),
+            polarity.alias("textblob_polarity"),
+            x["t"]["subjectivity"].alias("textblob_subjectivity"),
+            textblob_label(polarity, labels).alias("textblob_label"),
+        )
+
+    return let(
+        text_or_empty(text),
+        lambda c: let(
+            words_of(c),
+            lambda shown: let(
+                F.transform(shown, F.lower),
+                lambda lower: let(F.transform(lower, find), lambda marks: of_words(c, shown, lower, marks)),
+            ),
+        ),
+    )
+
+
+SENTIMENT_COLUMNS = (
+    "vader_compound", "vader_neg", "vader_neu", "vader_pos", "vader_label",
+    "textblob_polarity", "textblob_subjectivity", "textblob_label",
+)
+
+
 def add_sentiment(
     df: DataFrame,
     text: str = "narrative",
@@ -256,29 +315,5 @@ def add_sentiment(
     labels=lexicons.SENTIMENT_LABELS,
 ) -> DataFrame:
     """Add the eight sentiment columns."""
-    find = hash_lookup(marks_table(lex), MARK_TYPE)
-    arrays = (
-        df.withColumn("_words", words_of(F.col(text)))
-        .withColumn("_lower", F.transform("_words", F.lower))
-        .withColumn("_marks", F.transform("_lower", find))
-        .withColumns(
-            {
-                # some words in capitals, but not all
-                "_caps": F.exists("_words", lambda w: ~_is_upper(w)) & F.exists("_words", _is_upper),
-                # positions of the few words that are in any table
-                "_hits": F.filter(
-                    F.transform("_marks", lambda m, i: F.when(m.isNotNull(), i)), lambda i: i.isNotNull()
-                ),
-            }
-        )
-    )
-    return (
-        add_tone(add_valence(arrays, text, lex))
-        .withColumns(
-            {
-                "vader_label": vader_label(F.col("vader_compound"), labels),
-                "textblob_label": textblob_label(F.col("textblob_polarity"), labels),
-            }
-        )
-        .drop("_words", "_lower", "_marks", "_caps", "_hits")
-    )
+    scored = df.withColumn("_s", sentiment_of(F.col(text), lex, labels))
+    return scored.withColumns({c: F.col("_s")[c] for c in SENTIMENT_COLUMNS}).drop("_s")
