@@ -19,7 +19,7 @@ TOKEN_TERMS = ("license", "apache", "token", "released", "worthless", "stupid",
 RULES = (
     phrases("LAW", ["MIT License", "Apache License"])
     + [
-        Rule("LAW", r"(?i:version)\s+\d+(?:\.\d+)*", regex=True),
+        Rule("LAW", r"(?i:version)\s+\d+(?:\.\d+){0,20}", regex=True),
         Rule("MONEY", r"\d{16}", regex=True),
         Rule("NET", r"\d{1,3}(?:\.\d{1,3}){3}", regex=True),
     ]
@@ -44,7 +44,7 @@ LEXICON = SentimentLexicon(
 QUALITY = [
     QualityRule("doubled_word", r"\b([A-Za-z]+) \1\b", "$1"),
     QualityRule("doubled_space", r"  +", " "),
-    QualityRule("space_before_comma", r" +,", ","),
+    QualityRule("space_before_comma", r"(?<! ) +,", ","),
     QualityRule("repeated_mark", r"!!+", "!"),
 ]
 

@@ -356,7 +356,7 @@ def suffix(w: str) -> str:
     for pattern, replacement in reversed(LEMMA_SUFFIXES):
         by = replacement.replace("$1", "\\1")
         out = f"CASE WHEN regexp_matches({w}, {lit(pattern)}) THEN regexp_replace({w}, {lit(pattern)}, {lit(by)}) ELSE {out} END"
-    return out
+    return f"CASE WHEN length({w}) > 64 THEN {w} ELSE {out} END"
 
 
 def _quality() -> str:
@@ -529,7 +529,11 @@ GROUP BY entity, vader_label""",
     "schema_listing": "SELECT CAST(i AS BIGINT) AS position, c AS \"column\", t AS type, (SELECT count(*) FROM documents) AS n_rows FROM (VALUES (0, 'doc_id', 'bigint'), (1, 'text', 'string'), (2, 'lang', 'string'), (3, 'source', 'string'), (4, 'n_chars', 'bigint')) t(i, c, t)",
     "csv_export": "SELECT CAST(complaint_id AS VARCHAR) AS complaint_id, array_to_string(tokens, ' ') AS tokens FROM tok",
     "lineitem_describe": " UNION ALL ".join(
-        f"SELECT * FROM ({describe(c, c, 'lineitem')})" for c in ("l_quantity", "l_extendedprice", "l_discount", "l_tax")
+        f"SELECT * FROM ({describe(name, c, 'lineitem')})"
+        for name, c in (
+            ("l_quantity", "l_quantity"), ("l_extendedprice", "l_extendedprice"),
+            ("discount_pct", "l_discount * 100"), ("tax_pct", "l_tax * 100"),
+        )
     ),
     "orders_yearly": f"SELECT {big('year(o_orderdate)', 'year')}, {big('count(*)', 'n')} FROM orders GROUP BY 1",
     "events_histogram": hist("value", 0, 1000, 50, "events", by="event_type"),

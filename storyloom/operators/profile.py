@@ -7,7 +7,13 @@ from itertools import combinations
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql import types as T
 
-from storyloom.operators.quantiles import exact_quantiles, measures_long, pivot_quantiles
+from storyloom.operators.quantiles import (
+    counted_values,
+    measures_long,
+    moments,
+    pivot_quantiles,
+    quantiles_of,
+)
 
 QUARTILES = {0.25: "q25", 0.5: "median", 0.75: "q75"}
 
@@ -51,16 +57,9 @@ def duplicate_rows(df: DataFrame) -> DataFrame:
 
 def describe(df: DataFrame, measures: dict[str, Column]) -> DataFrame:
     """count, mean, std, min, quartiles and max per measure, one row each."""
-    long = measures_long(df, measures)
-    names = list(measures)
-    plain = long.where(F.col("v").isNotNull()).groupBy("group").agg(
-        F.count("v").alias("count"),
-        F.avg("v").alias("mean"),
-        F.stddev_samp("v").alias("std"),
-        F.min("v").alias("min"),
-        F.max("v").alias("max"),
-    )
-    parts = pivot_quantiles(exact_quantiles(long, names, list(QUARTILES)), QUARTILES)
+    counted = counted_values(measures_long(df, measures), list(measures))
+    plain = moments(counted).withColumnsRenamed({"n": "count", "lo": "min", "hi": "max"})
+    parts = pivot_quantiles(quantiles_of(counted, list(QUARTILES)), QUARTILES)
     # one row per measure on either side
     return (
         plain.join(F.broadcast(parts), "group")

@@ -22,7 +22,7 @@ class QualityRule:
 QUALITY_RULES = [
     QualityRule("doubled_word", r"\b([A-Za-z]+) \1\b", "$1"),
     QualityRule("doubled_space", r"  +", " "),
-    QualityRule("space_before_comma", r" +,", ","),
+    QualityRule("space_before_comma", r"(?<! ) +,", ","),
     QualityRule("repeated_mark", r"!!+", "!"),
 ]
 

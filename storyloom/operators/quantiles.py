@@ -16,25 +16,49 @@ def measures_long(df: DataFrame, measures: dict[str, Column]) -> DataFrame:
     return df.select(F.explode(F.array(*pairs)).alias("_m")).select("_m.group", "_m.v")
 
 
-def exact_quantiles(long: DataFrame, groups: list[str], quantiles: list[float]) -> DataFrame:
-    """Linear-interpolated quantiles of ``v`` for each listed ``group``: (group, q, value).
-
-    1. Equal values are counted before and after one shuffle by (group, value).
-    2. The counts are added up in 4,096 equal value ranges per group; running totals
-       over those few rows show which range holds each wanted rank.
-    3. Only the values of those ranges are ranked.
-
-    All steps read the one shuffled table of value counts. ``groups`` bounds the rows
-    of every table that is broadcast.
-    """
-    counted = (
+def counted_values(long: DataFrame, groups: list[str]) -> DataFrame:
+    """Rows per ``group`` and value; equal values are merged before the shuffle."""
+    return (
         long.where(F.col("v").isNotNull() & F.col("group").isin(*groups))
         .groupBy("group", "v")
         .agg(F.count(F.lit(1)).alias("c"))
     )
-    extent = counted.groupBy("group").agg(
-        F.min("v").alias("lo"), F.max("v").alias("hi"), F.sum("c").alias("n")
+
+
+def extents(counted: DataFrame) -> DataFrame:
+    """One row per group: count, mean, least and greatest value."""
+    return counted.groupBy("group").agg(
+        F.min("v").alias("lo"),
+        F.max("v").alias("hi"),
+        F.sum("c").alias("n"),
+        (F.sum(F.col("v") * F.col("c")) / F.sum("c")).alias("mean"),
     )
+
+
+def moments(counted: DataFrame) -> DataFrame:
+    """``extents`` with the sample deviation, by distances from the mean."""
+    joined = counted.join(F.broadcast(extents(counted)), "group")
+    gap = F.col("v") - F.col("mean")
+    variance = F.try_divide(F.sum(gap * gap * F.col("c")), F.col("n") - 1)
+    return joined.groupBy("group", "lo", "hi", "n", "mean").agg(F.sqrt(variance).alias("std"))
+
+
+def exact_quantiles(long: DataFrame, groups: list[str], quantiles: list[float]) -> DataFrame:
+    """Linear-interpolated quantiles of ``v`` for each listed ``group``: (group, q, value)."""
+    return quantiles_of(counted_values(long, groups), quantiles)
+
+
+def quantiles_of(counted: DataFrame, quantiles: list[float]) -> DataFrame:
+    """Quantiles from value counts.
+
+    1. The counts are added up in 4,096 equal value ranges per group; running totals
+       over those few rows show which range holds each wanted rank.
+    2. Only the values of those ranges are ranked.
+
+    Every step reads the one shuffled table of value counts, which Spark computes once.
+    The groups were listed by name, which bounds every table that is broadcast.
+    """
+    extent = extents(counted).drop("mean")
     spread = F.col("hi") - F.col("lo")
     bucket = F.when(
         spread > 0, F.least(F.floor((F.col("v") - F.col("lo")) / spread * BUCKETS), F.lit(BUCKETS - 1))

@@ -23,10 +23,13 @@ def read_csv_skip_bad(
         mode="PERMISSIVE", columnNameOfCorruptRecord=BAD, enforceSchema=True,
         ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False,
     )
-    quotes = F.regexp_count(F.col(BAD), F.lit('"'))
-    bare = F.regexp_replace(F.col(BAD), '"([^"]|"")*"', "")
-    commas = F.regexp_count(bare, F.lit(","))
-    damaged = F.col(BAD).isNotNull() & ((quotes % 2 == 1) | (commas > len(schema.fields) - 1))
+    # Pieces between quotes: even ones lie outside quoted fields. (A regular expression
+    # over a long quoted field would overflow the matcher's stack.)
+    pieces = F.split(F.col(BAD), '"')
+    outside = F.filter(pieces, lambda p, i: i % 2 == 0)
+    commas = F.aggregate(outside, F.lit(0), lambda n, p: n + F.regexp_count(p, F.lit(",")))
+    open_quote = F.size(pieces) % 2 == 0
+    damaged = F.col(BAD).isNotNull() & (open_quote | (commas > len(schema.fields) - 1))
     return raw.where(~damaged).drop(BAD)
 
 
