@@ -46,7 +46,9 @@ def duplicate_rows(df: DataFrame) -> DataFrame:
     shuffled per row and not the texts, and copies are merged before the shuffle.
     """
     row = F.to_json(
-        F.struct(*[_comparable(f).alias(f.name) for f in df.schema.fields]), {"ignoreNullFields": "false"}
+        F.struct(*[_comparable(f).alias(f.name) for f in df.schema.fields]),
+        # nulls count, and so do microseconds
+        {"ignoreNullFields": "false", "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"},
     )
     digests = df.select(F.sha2(row, 256).alias("_d")).groupBy("_d").agg(F.count(F.lit(1)).alias("_c"))
     return digests.agg(

@@ -58,5 +58,12 @@ def sample_by_group(df: DataFrame, group: str, key: str, n: int = 3, seed: int =
 
 
 def first_rows(df: DataFrame, key: str, n: int | None) -> DataFrame:
-    """The first n rows by key; all rows when n is None."""
-    return df if n is None else df.orderBy(key).limit(n)
+    """The first n rows by key; all rows when n is None.
+
+    The n-th key is found on the key column alone, so that only about n whole rows
+    leave their partitions.
+    """
+    if n is None:
+        return df
+    last = df.select(key).orderBy(key).limit(n).agg(F.max(key).alias("_last")).scalar()
+    return df.where(F.col(key) <= last).orderBy(key).limit(n)

@@ -135,6 +135,8 @@ def test_duplicates_nulls_and_schema(spark):
         (0, "n", "int", 6), (1, "m", "map<string,string>", 6),
     ]
     assert profile.duplicate_rows(df.limit(0)).first()[:] == (0, 0)
+    times = spark.sql("SELECT timestamp'2020-01-01 00:00:00.000001' AS t UNION ALL SELECT timestamp'2020-01-01 00:00:00.000002'")
+    assert profile.duplicate_rows(times).first()[:] == (2, 0)
 
 
 # Text quality --------------------------------------------------------------

@@ -114,3 +114,18 @@ def test_scratch_folder_follows_the_session(spark):
     base = session.scratch_dir(spark, "x").rsplit("/", 1)[0]
     assert spark.conf.get("spark.checkpoint.dir").rstrip("/") == base
     assert session.scratch_dir(spark, "x") != session.scratch_dir(spark, "x")
+
+
+def test_valence_file(spark, tmp_path):
+    from storyloom.functions.sentiment import add_sentiment
+    from storyloom.sources import term_files
+
+    path = tmp_path / "lexicon.txt"
+    path.write_text("Splendid\t2.5\t0.5\t[3, 2]\ndreadful\t-2.0\t0.4\t[-2]\n:(\t-1.9\t0.3\t[-2]\n\"\t\t\t\n")
+    lex = term_files.with_valence_file(spark, str(path))
+    assert lex.valence == {"splendid": 2.5, "dreadful": -2.0, ":(": -1.9} and lex.negations
+    df = spark.createDataFrame([("splendid work",), ("good dreadful :(",)], "narrative string")
+    got = [r.vader_compound for r in add_sentiment(df, lex=lex).collect()]
+    assert got == [round(2.5 / (2.5**2 + 15) ** 0.5, 4), round(-3.9 / (3.9**2 + 15) ** 0.5, 4)]
+    with pytest.raises(ValueError):
+        term_files.as_dict(spark.range(5).withColumn("v", F.lit(1)), "id", "v", limit=4)
