@@ -190,8 +190,8 @@ def tokens_long(spark, sf_dir):
 def lemmas_long(spark, sf_dir):
     lemmas = lookup_table(spark, a.LEMMAS, "token", "lemma")
     stop = word_table(spark, a.STOP, "lemma")
-    rows = long_tokens.lemmatise_long(token_rows(spark, sf_dir), lemmas)
-    return long_tokens.drop_stop_words(rows, stop).select(ID, "pos", "lemma")
+    rows = long_tokens.lemmatise_long(token_rows(spark, sf_dir), lemmas, rows=len(a.LEMMAS))
+    return long_tokens.drop_stop_words(rows, stop, rows=len(a.STOP)).select(ID, "pos", "lemma")
 
 
 @query

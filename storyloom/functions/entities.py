@@ -34,10 +34,11 @@ def phrases(label: str, names) -> list[Rule]:
 # Repeated groups have an upper bound: an open one recurses once per repetition.
 _NUMBER = r"(?:\d+(?:[.,/]\d+){0,20}|(?i:" + "|".join(lexicons.NUMBER_WORDS) + "))"
 
-LAW_RULES = phrases("LAW", lexicons.LAW_PHRASES) + [
+_LAW_PATTERNS = [
     Rule("LAW", r"(?i:section)\s+" + _NUMBER, regex=True),
     Rule("LAW", r"(?i:fair\s+credit\s+reporting\s+act)", regex=True),
 ]
+LAW_RULES = phrases("LAW", lexicons.LAW_PHRASES) + _LAW_PATTERNS
 LAW_RULES_EXTENDED = LAW_RULES + [Rule("LAW", r"(?i:fair\s+debt\s+collection)", regex=True)]
 MONEY_RULES = [Rule("MONEY", r"\$\s?\d+(?:,\d{3}){0,20}(?:\.\d+)?(?:\s(?i:thousand|million|billion))?", regex=True)]
 
@@ -50,6 +51,13 @@ EXTENDED_RULES = (
     + MONEY_RULES
     + phrases("GPE", lexicons.US_STATES)
 )
+SHORT_RULES = (
+    phrases("ORG", lexicons.ORG_PHRASES_SHORT)
+    + phrases("LAW", lexicons.LAW_PHRASES_SHORT)
+    + _LAW_PATTERNS
+    + MONEY_RULES
+    + phrases("GPE", lexicons.US_STATES)
+)
 
 
 def in_match_order(rules) -> list[Rule]:

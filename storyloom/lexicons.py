@@ -51,6 +51,18 @@ LEGAL_TERMS_EXTENDED = [
     "fraud", "fraudulent", "identity theft",
 ]
 
+# The short legal and ORG lists of the step-by-step variant.
+LEGAL_TERMS_SHORT = [
+    "FCRA", "FDCPA", "violation", "violated", "compliance", "dispute", "validation",
+    "verification", "investigate", "lawsuit", "litigation", "attorney", "fraud",
+    "fraudulent", "identity theft",
+]
+ORG_PHRASES_SHORT = [
+    "Equifax", "Experian", "TransUnion", "CFPB", "IRS", "FTC", "PennyMac", "Navient",
+    "Chase", "Bank of America", "Wells Fargo", "Capital One", "Discover", "Synchrony",
+]
+LAW_PHRASES_SHORT = ["FCRA", "FDCPA"]
+
 # Legal words counted among the tokens by the term-frequency mart.
 LEGAL_TOKENS = (
     "fcra fdcpa fcba ecoa tila fraud violation lawsuit dispute investigation inaccurate "

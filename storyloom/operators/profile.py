@@ -119,21 +119,24 @@ CORRELATED = (
 def correlation_matrix(df: DataFrame, columns=CORRELATED) -> DataFrame:
     """Pearson correlation of each pair of present columns, in one pass over the table.
 
+    A pair without a row where both are present has no result row.
+
     A constant column gives null; plain ``corr`` would fail on it in ANSI mode.
     """
     present = [c for c in columns if c in df.columns]
     pairs = list(combinations(present, 2))
-
-    def pearson(a, b):
-        both = F.col(a).isNotNull() & F.col(b).isNotNull()
-        x, y = F.when(both, F.col(a).cast("double")), F.when(both, F.col(b).cast("double"))
-        return F.try_divide(F.covar_pop(x, y), F.stddev_pop(x) * F.stddev_pop(y))
-
-    one = df.agg(*[pearson(a, b).alias(f"_{i}") for i, (a, b) in enumerate(pairs)])
+    # One row per pair keeps the aggregate small enough to be compiled; the rows are
+    # merged per pair before the shuffle.
     cells = F.array(
         *[
-            F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), F.col(f"_{i}").alias("r"))
-            for i, (a, b) in enumerate(pairs)
+            F.struct(
+                F.lit(a).alias("a"), F.lit(b).alias("b"),
+                F.col(a).cast("double").alias("x"), F.col(b).cast("double").alias("y"),
+            )
+            for a, b in pairs
         ]
     )
-    return one.select(F.inline(cells))
+    both = df.select(F.inline(cells)).where(F.col("x").isNotNull() & F.col("y").isNotNull())
+    return both.groupBy("a", "b").agg(
+        F.try_divide(F.covar_pop("x", "y"), F.stddev_pop("x") * F.stddev_pop("y")).alias("r")
+    )

@@ -25,6 +25,8 @@ def build_session(app: str = "storyloom", master: str | None = None, **conf) ->
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
         "spark.ui.enabled": "false",
+        # call-site capture doubles the time to build a large expression
+        "spark.python.sql.dataFrameDebugging.enabled": "false",
     }
     settings.update({k: str(v) for k, v in conf.items()})
     for key, value in settings.items():

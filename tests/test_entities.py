@@ -33,6 +33,15 @@ def test_counts(spark):
     assert types == {"ORG": 2, "LAW": 4}
 
 
+def test_rule_sets(spark):
+    text = "Nelnet, Comenity, TILA, FCRA; fair debt collection"
+    df = spark.createDataFrame([(text,)], "narrative string")
+    of = lambda rules: ent.add_entities(df, rules=rules).first().entities
+    assert of(ent.DEFAULT_RULES) == {"ORG": ["Nelnet"], "LAW": ["FCRA", "TILA"]}
+    assert of(ent.EXTENDED_RULES) == {"ORG": ["Comenity", "Nelnet"], "LAW": ["FCRA", "TILA", "fair debt collection"]}
+    assert of(ent.SHORT_RULES) == {"LAW": ["FCRA"]}
+
+
 def test_longest_phrase_first_and_masked_matches_dropped(spark):
     rules = [ent.Rule("A", "New"), ent.Rule("B", "New York"), ent.Rule("C", r"York \[MASK\]", regex=True)]
     df = spark.createDataFrame([("New York, New Delhi. York [MASK] ",), ("York XXXX ",)], "narrative string")
