@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import logging
+
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 from pyspark.sql import types as T
 
+log = logging.getLogger("storyloom")
+
 BAD = "_bad"
 
 
@@ -45,7 +49,7 @@ def save_stage(df: DataFrame, path: str, partition_by: tuple = ()) -> dict:
     writer = df.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode("overwrite")
     (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
     report = {"path": path, "rows": seen.get["rows"], "columns": len(df.columns)}
-    print("[stage] {path}: {rows} rows, {columns} columns".format(**report))
+    log.info("stage %(path)s: %(rows)d rows, %(columns)d columns", report)
     return report
 
 
