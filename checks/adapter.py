@@ -13,7 +13,6 @@ from storyloom.session import balance_small
 STOP = tuple("the of and to a in is that it for was on with be by as this are at from".split())
 LEMMAS = {"thorreou": "thorre", "ererthre": "erer", "hering": "her"}
 LEGAL_TERMS = ("license", "released", "token", "apache", "worthless")
-CHART_STOP = ("mask", "xxxx", "x", "xx", "xxx", "xxxxxxxxxxx")
 TOKEN_TERMS = ("license", "apache", "token", "released", "worthless", "stupid", "idiot", "copyright")
 
 RULES = (
