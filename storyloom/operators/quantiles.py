@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 # Value ranges per group in the first step.

@@ -12,7 +12,6 @@ from storyloom.operators.histogram import histogram
 from storyloom.operators.profile import yearly_counts
 from storyloom.operators.quantiles import (
     exact_quantiles,
-    measures_long,
     one_quantile,
     pivot_quantiles,
 )
