@@ -8,15 +8,23 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from storyloom.llm.common import read_table
+from storyloom.llm.op1_lm_scoring import score_documents
 from storyloom.llm.op2_ann import nearest
 from storyloom.llm.op3_token_counts import token_counts
 from storyloom.llm.op4_mixing import mix
+from storyloom.llm.op5_toxicity import toxicity
 from storyloom.llm.op6_simhash import near_duplicates
 from storyloom.llm.op7_line_dedup import line_dedup
+from storyloom.llm.op8_licences import KNOWN, HOLDER, NOT_WORD, SAME, licence_scan
 from storyloom.llm.op9_exact_topk import top_products
 from storyloom.llm.op10_sentencepiece import segmentations
 
 
+def op1_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scores = score_documents(read_table(spark, sf_dir, "documents"))
+    return scores.select("doc_id", "n_words", F.round("score", 3).alias("score"), F.round("mean_log", 6).alias("mean_log"))
+
+
 def op2_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearest(read_table(spark, sf_dir, "embeddings"))
 
@@ -29,6 +37,10 @@ def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(read_table(spark, sf_dir, "documents"))
 
 
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(read_table(spark, sf_dir, "documents"))
 
@@ -38,6 +50,11 @@ def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
 
 
+def op8_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = licence_scan(read_table(spark, sf_dir, "documents"))
+    return found.withColumn("line_licences", F.array_join("line_licences", ","))
+
+
 def op9_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_products(read_table(spark, sf_dir, "embeddings"))
 
@@ -48,13 +65,47 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op2_ann, op3_token_counts, op4_mixing, op6_simhash, op7_line_dedup, op9_exact_topk, op10_sentencepiece)
+    for f in (
+        op1_lm_scoring, op2_ann, op3_token_counts, op4_mixing, op5_toxicity, op6_simhash, op7_line_dedup, op8_licences,
+        op9_exact_topk, op10_sentencepiece,
+    )
 }
 
 _WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
 _UPPER, _LOWER = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ'", "'abcdefghijklmnopqrstuvwxyz'"
 
+_KNOWN = ", ".join(
+    "({}, {})".format(*("'" + x.replace("'", "''") + "'" for x in (name, text))) for name, texts in KNOWN.items() for text in texts
+)
+
+
+def _canonical(line: str) -> str:
+    out = f"' ' || regexp_replace(lower({line}), '{NOT_WORD}', ' ', 'g') || ' '"
+    for a, b in SAME:
+        out = f"replace({out}, ' {a} ', ' {b} ')"
+    return f"CASE WHEN regexp_matches(lower({line}), '{HOLDER}') THEN '' ELSE trim(regexp_replace({out}, '  +', ' ', 'g')) END"
+
+
 ORACLES: dict[str, str] = {
+    "op1_lm_scoring": rf"""
+WITH w AS (SELECT doc_id, unnest(ws) AS w, generate_subscripts(ws, 1) AS pos FROM
+           (SELECT doc_id, {_WORDS.replace("coalesce(text, '')", f"translate(coalesce(text, ''), {_UPPER}, {_LOWER})")} AS ws FROM documents)),
+g AS (SELECT *, lag(w) OVER (PARTITION BY doc_id ORDER BY pos) AS p FROM w),
+c1 AS (SELECT w, count(*) AS n FROM w GROUP BY w),
+c2 AS (SELECT p, w, count(*) AS n FROM g WHERE p IS NOT NULL GROUP BY p, w),
+d0 AS (SELECT doc_id, count(*) AS n FROM w GROUP BY doc_id),
+d1 AS (SELECT doc_id, w, count(*) AS n FROM w GROUP BY doc_id, w),
+d2 AS (SELECT doc_id, p, w, count(*) AS n FROM g WHERE p IS NOT NULL GROUP BY doc_id, p, w),
+x AS (SELECT g.doc_id, g.p, c1.n - d1.n AS n1, coalesce(c2.n - d2.n, 0) AS n2, q1.n - e1.n AS before,
+             (SELECT count(*) FROM w) - d0.n AS n0
+      FROM g JOIN c1 ON c1.w = g.w JOIN d1 ON d1.doc_id = g.doc_id AND d1.w = g.w JOIN d0 ON d0.doc_id = g.doc_id
+      LEFT JOIN c2 ON c2.p = g.p AND c2.w = g.w LEFT JOIN d2 ON d2.doc_id = g.doc_id AND d2.p = g.p AND d2.w = g.w
+      LEFT JOIN c1 q1 ON q1.w = g.p LEFT JOIN d1 e1 ON e1.doc_id = g.doc_id AND e1.w = g.p),
+s AS (SELECT doc_id, count(*) AS n, sum(CASE WHEN n2 > 0 THEN ln(n2 / before)
+             ELSE (CASE WHEN p IS NULL THEN 0 ELSE ln(0.4) END) + (CASE WHEN n1 > 0 THEN ln(n1 / n0) ELSE -ln(n0 + 1) END) END) AS t
+      FROM x GROUP BY doc_id)
+SELECT d.doc_id, coalesce(n, 0)::BIGINT AS n_words, round(coalesce(t, 0), 3) AS score, round(t / n, 6) AS mean_log
+FROM documents d LEFT JOIN s USING (doc_id)""",
     "op4_mixing": f"""
 WITH d AS (SELECT doc_id, source, len({_WORDS})::BIGINT AS size, md5(concat_ws(':', coalesce(doc_id::VARCHAR, ''), '42')) AS k
            FROM documents),
@@ -84,6 +135,21 @@ m AS (SELECT k.*, s.keep IS NOT NULL AND s.keep <> doc_id AS gone FROM k LEFT JO
 SELECT doc_id, count(*)::BIGINT AS n_lines, count(*) FILTER (gone)::BIGINT AS n_dropped,
        sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT gone), '')) AS kept_sha256
 FROM m GROUP BY doc_id""",
+    "op8_licences": rf"""
+WITH u AS (SELECT doc_id, pos, {_canonical("line")} AS c FROM
+           (SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
+                   generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS pos FROM documents)),
+k AS (SELECT licence, i, {_canonical("line")} AS c, pos FROM
+      (SELECT licence, i, unnest(string_split(t, chr(10))) AS line, generate_subscripts(string_split(t, chr(10)), 1) AS pos
+       FROM (SELECT col0 AS licence, col1 AS t, row_number() OVER () AS i FROM (VALUES {_KNOWN}) v(col0, col1)))),
+kt AS (SELECT c, min(licence) AS licence FROM
+       (SELECT licence, i, string_agg(c, ' ' ORDER BY pos) AS c FROM k WHERE c <> '' GROUP BY licence, i) GROUP BY c),
+t AS (SELECT doc_id, string_agg(c, ' ' ORDER BY pos) AS c FROM u WHERE c <> '' GROUP BY doc_id),
+l AS (SELECT u.doc_id, string_agg(DISTINCT kt.licence, ',' ORDER BY kt.licence) AS found, count(*) AS n
+      FROM u JOIN kt ON u.c = kt.c GROUP BY u.doc_id)
+SELECT d.doc_id, sha256(coalesce(t.c, '')) AS text_digest, kt.licence AS text_licence,
+       coalesce(l.found, '') AS line_licences, coalesce(l.n, 0)::BIGINT AS n_lines
+FROM documents d LEFT JOIN t USING (doc_id) LEFT JOIN kt ON kt.c = t.c LEFT JOIN l ON l.doc_id = d.doc_id""",
     "op9_exact_topk": """
 WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS q FROM embeddings
            WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
