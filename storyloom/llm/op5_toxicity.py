@@ -18,10 +18,14 @@ PER_CLASS = 6_000
 TERMS = 4_096
 # Least association (chi-squared) and least examples of a term.
 LEAST_CHI2, LEAST_DF = 15.0, 3
+# A term must be this many times as frequent among examples with the label as among the others.
+LEAST_RATIO = 5.0
 # Neighbours that vote, and the weight of the base rate beside them.
 NEIGHBOURS, BASE = 15, 0.3
 # Examples in a block of the index, and blocks that are scored before the first look at the bounds.
 BLOCK, FIRST = 64, 4
+# Words whose terms a worker remembers; beyond that it starts anew.
+REMEMBERED = 300_000
 LETTERS = re.compile(r"[^\W\d_]+")
 PREFIXES = (4, 5)
 
@@ -63,18 +67,31 @@ class Model:
     base: float = 0.0
     slope: float = 1.0
     shift: float = 0.0
+    # terms of words met before
+    memory: dict[str, tuple[int, ...]] = field(default_factory=dict)
 
     def features(self, text: str | None) -> tuple[np.ndarray, np.ndarray]:
         """Term numbers, ascending, and counts of a text."""
-        if not text:
-            return np.zeros(0, np.int32), np.zeros(0, np.int32)
-        known = self.terms
         found: dict[int, int] = {}
-        for w in LETTERS.findall(text.lower()):
-            for x in (w, "^" + w[:4] if len(w) > 4 else None, "^" + w[:5] if len(w) > 5 else None):
-                i = known.get(x)
-                if i is not None:
-                    found[i] = found.get(i, 0) + 1
+        # no run of letters spans a blank
+        words = text.lower().split() if text else []
+        memory = self.memory
+        new = set(words).difference(memory)
+        if new:
+            if len(memory) + len(new) > REMEMBERED:
+                memory.clear()
+                new = set(words)
+            known = self.terms
+            for w in new:
+                memory[w] = tuple(
+                    known[x]
+                    for run in ((w,) if w.isalpha() else LETTERS.findall(w))
+                    for x in (run, *("^" + run[:p] for p in PREFIXES if len(run) > p))
+                    if x in known
+                )
+        for ids in filter(None, map(memory.__getitem__, words)):
+            for i in ids:
+                found[i] = found.get(i, 0) + 1
         order = sorted(found)
         return np.array(order, np.int32), np.array([found[i] for i in order], np.int32)
 
@@ -214,7 +231,8 @@ def fit(documents: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) ->
     a, b = F.col("a").cast("double"), F.col("b").cast("double")
     n = float(n0 + n1)
     chi2 = n * F.pow(b * n0 - a * n1, 2) / (F.lit(float(n0) * n1) * (a + b) * (n - a - b + 1))
-    top = stats.filter(a + b >= LEAST_DF).withColumn("chi2", chi2).filter(F.col("chi2") >= LEAST_CHI2)
+    stats = stats.filter((a + b >= LEAST_DF) & (b * n0 >= LEAST_RATIO * n1 * a))
+    top = stats.withColumn("chi2", chi2).filter(F.col("chi2") >= LEAST_CHI2)
     top = top.orderBy(F.desc("chi2"), "term").limit(TERMS).collect()
     model.terms = {r["term"]: i for i, r in enumerate(top)}
     if not top:
