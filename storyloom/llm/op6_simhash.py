@@ -165,7 +165,8 @@ def _classes(prints: DataFrame, first: Column, radius: int) -> DataFrame:
     roots = stored(roots.withColumnRenamed("node", "fp"), "fingerprint-roots")
     best = roots.join(fps, "fp").groupBy("root").agg(F.min("low").alias("best"))
     linked = roots.join(best, "root").select("fp", "best")
-    return fps.join(linked, "fp", "left").select("fp", F.coalesce("best", "low").alias("best"))
+    # written, so that the join of documents with it reads two plain tables and a fingerprint of many copies can be split
+    return stored(fps.join(linked, "fp", "left").select("fp", F.coalesce("best", "low").alias("best")), "fingerprint-best")
 
 
 def near_duplicates(
