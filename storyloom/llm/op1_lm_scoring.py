@@ -66,6 +66,15 @@ def grams(texts: list[str | None], order: int) -> tuple[list[np.ndarray], np.nda
     return levels[: order + 1], text, place
 
 
+def _planes(x: np.ndarray) -> bytes:
+    """Whole numbers with their first bytes together, then their second ones: small numbers then compress well."""
+    return x.astype("<u8").view(np.uint8).reshape(-1, 8).T.tobytes()
+
+
+def _from_planes(raw: bytes) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(8, -1).T).view("<u8").reshape(-1).astype(np.int64)
+
+
 def _bounds(buckets: int) -> np.ndarray:
     return np.array([(b << 64) // buckets for b in range(1, buckets)], np.uint64)
 
@@ -140,24 +149,24 @@ def score_documents(
                 "bucket": full.astype(np.int32),
                 "block": np.int32(part["block"].iloc[0]),
                 "grams": [found[cut[b] : cut[b + 1]].tobytes() for b in full],
-                "counts": [count[cut[b] : cut[b + 1]].astype(np.uint32).tobytes() for b in full],
+                "counts": [_planes(count[cut[b] : cut[b + 1]]) for b in full],
             }
         )
 
     def answer(part: pd.DataFrame) -> pd.DataFrame:
         each = [np.frombuffer(g, np.uint64) for g in part["grams"]]
-        count = np.concatenate([np.frombuffer(c, np.uint32) for c in part["counts"]])
+        count = np.concatenate([_from_planes(c) for c in part["counts"]])
         found, inverse = np.unique(np.concatenate(each), return_inverse=True)
         totals = np.bincount(inverse, weights=count, minlength=len(found)).astype(np.int64)[inverse]
         ends = np.cumsum([len(g) for g in each])
         return pd.DataFrame(
-            {"block": part["block"], "bucket": part["bucket"], "totals": [totals[e - len(g) : e].tobytes() for g, e in zip(each, ends)]}
+            {"block": part["block"], "bucket": part["bucket"], "totals": [_planes(totals[e - len(g) : e]) for g, e in zip(each, ends)]}
         )
 
     def score(part: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
         texts = part["text"].tolist()
         found, _ = distinct_of(texts)
-        totals = np.frombuffer(b"".join(answers.sort_values("bucket")["totals"]), np.int64)
+        totals = np.concatenate([np.zeros(0, np.int64), *map(_from_planes, answers.sort_values("bucket")["totals"])])
         if len(totals) != len(found):
             raise ValueError(f"{len(totals)} counts for {len(found)} n-grams")
         total, words = _scores(texts, totals, found, order, alpha, leave_out)
