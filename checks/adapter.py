@@ -8,7 +8,7 @@ from storyloom.functions.entities import Rule, phrases
 from storyloom.lexicons import SentimentLexicon
 from storyloom.operators.quality import QualityRule
 from storyloom.plans.enrich import Tables
-from storyloom.session import balance_small
+from storyloom.session import spread
 
 STOP = tuple("the of and to a in is that it for was on with be by as this are at from".split())
 LEMMAS = {"thorreou": "thorre", "ererthre": "erer", "hering": "her"}
@@ -18,7 +18,7 @@ TOKEN_TERMS = ("license", "apache", "token", "released", "worthless", "stupid",
 RULES = (
     phrases("LAW", ["MIT License", "Apache License"])
     + [
-        Rule("LAW", r"(?i:version)\s+\d+(?:\.\d+){0,20}", regex=True),
+        Rule("LAW", r"(?i:version)\s+\d++(?:\.\d++)*+", regex=True),
         Rule("MONEY", r"\d{16}", regex=True),
         Rule("NET", r"\d{1,3}(?:\.\d{1,3}){3}", regex=True),
     ]
@@ -56,7 +56,7 @@ REDACT = r"\S+@\S+|\b\d{16}\b|\b\d{1,3}(\.\d{1,3}){3}\b"
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return balance_small(spark.read.parquet(f"{sf_dir}/documents.parquet"), "doc_id")
+    return spread(spark.read.parquet(f"{sf_dir}/documents.parquet"), "doc_id")
 
 
 def complaints(spark: SparkSession, sf_dir: str, joined: bool = False) -> DataFrame:

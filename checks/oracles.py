@@ -356,7 +356,7 @@ def suffix(w: str) -> str:
     for pattern, replacement in reversed(LEMMA_SUFFIXES):
         by = replacement.replace("$1", "\\1")
         out = f"CASE WHEN regexp_matches({w}, {lit(pattern)}) THEN regexp_replace({w}, {lit(pattern)}, {lit(by)}) ELSE {out} END"
-    return f"CASE WHEN length({w}) > 64 THEN {w} ELSE {out} END"
+    return out
 
 
 def _quality() -> str:

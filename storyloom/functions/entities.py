@@ -31,8 +31,8 @@ def phrases(label: str, names) -> list[Rule]:
     return [Rule(label, n) for n in names]
 
 
-# Repeated groups have an upper bound: an open one recurses once per repetition.
-_NUMBER = r"(?:\d+(?:[.,/]\d+){0,20}|(?i:" + "|".join(lexicons.NUMBER_WORDS) + "))"
+# Possessive repeats run as a loop, so a number may have any count of groups.
+_NUMBER = r"(?:\d++(?:[.,/]\d++)*+|(?i:" + "|".join(lexicons.NUMBER_WORDS) + "))"
 
 _LAW_PATTERNS = [
     Rule("LAW", r"(?i:section)\s+" + _NUMBER, regex=True),
@@ -40,7 +40,7 @@ _LAW_PATTERNS = [
 ]
 LAW_RULES = phrases("LAW", lexicons.LAW_PHRASES) + _LAW_PATTERNS
 LAW_RULES_EXTENDED = LAW_RULES + [Rule("LAW", r"(?i:fair\s+debt\s+collection)", regex=True)]
-MONEY_RULES = [Rule("MONEY", r"\$\s?\d+(?:,\d{3}){0,20}(?:\.\d+)?(?:\s(?i:thousand|million|billion))?", regex=True)]
+MONEY_RULES = [Rule("MONEY", r"\$\s?\d++(?:,\d{3})*+(?:\.\d+)?(?:\s(?i:thousand|million|billion))?", regex=True)]
 
 DEFAULT_RULES = (
     phrases("ORG", lexicons.ORG_PHRASES) + LAW_RULES + MONEY_RULES + phrases("GPE", lexicons.US_STATES)

@@ -114,12 +114,16 @@ def text_length(c: Column) -> Column:
 
 
 # Formats tried in turn when a date string is read.
-DATE_FORMATS = ("yyyy-MM-dd", "MM/dd/yyyy", "yyyy-MM-dd HH:mm:ss", "yyyy-MM-dd'T'HH:mm:ss")
+DATE_FORMATS = ("yyyy-MM-dd", "M/d/yyyy", "yyyy-MM-dd HH:mm:ss", "yyyy-MM-dd'T'HH:mm:ss")
 
 
 def parse_date(c: Column, formats=DATE_FORMATS) -> Column:
-    """Timestamp of the first format that fits, else null."""
-    return F.coalesce(*[F.try_to_timestamp(c.cast("string"), F.lit(f)) for f in formats])
+    """Timestamp of the first format that fits, else null.
+
+    What no format fits is read as a cast would: fractions, offsets, and the text of date and timestamp columns.
+    """
+    text = c.cast("string")
+    return F.coalesce(*[F.try_to_timestamp(text, F.lit(f)) for f in formats], F.try_to_timestamp(text))
 
 
 def short_product(c: Column, width: int = 35) -> Column:

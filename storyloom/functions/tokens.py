@@ -14,16 +14,12 @@ def split_letters(clean: Column) -> Column:
     return F.filter(F.split(clean, "[^a-z]+"), lambda w: w != "")
 
 
-# Letter runs beyond this are no words; the suffix patterns take quadratic time on them.
-LONGEST_WORD = 64
-
-
 def suffix_lemma(word: Column, rules=lexicons.LEMMA_SUFFIXES) -> Column:
     """Lemma by the first suffix rule that matches, else the word."""
     out = word
     for pattern, replacement in reversed(rules):
         out = F.when(word.rlike(pattern), F.regexp_replace(word, pattern, replacement)).otherwise(out)
-    return F.when(F.length(word) > LONGEST_WORD, word).otherwise(out)
+    return out
 
 
 def stop_list(keep=(), base=lexicons.STOP_WORDS) -> list[str]:

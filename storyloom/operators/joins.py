@@ -19,7 +19,7 @@ def word_table(spark: SparkSession, words, key: str) -> DataFrame:
     return spark.createDataFrame([(w,) for w in words], f"{key} string")
 
 
-def lookup_join(df: DataFrame, lookup: DataFrame, on: str, how: str = "left", rows: int | None = None) -> DataFrame:
+def lookup_join(df: DataFrame, lookup: DataFrame, on: str, how: str = "left", rows: int | None = None, seed: int = 11) -> DataFrame:
     """Join a large table with a lookup table on one column.
 
     ``rows`` is the size where the caller knows it; otherwise the lookup table is
@@ -33,7 +33,7 @@ def lookup_join(df: DataFrame, lookup: DataFrame, on: str, how: str = "left", ro
         rows = lookup.limit(BROADCAST_ROWS + 1).count()
     if rows <= BROADCAST_ROWS:
         return df.join(F.broadcast(lookup), on, how)
-    # The salt follows the whole row, so a task that is run again makes the same one.
-    salted = df.withColumn("_salt", F.pmod(F.xxhash64(*df.columns), F.lit(SALTS)).cast("int"))
+    # A seeded random salt: equal rows, and tables of the key alone, are spread too; any salt finds its copy.
+    salted = df.withColumn("_salt", F.floor(F.rand(seed) * SALTS).cast("int"))
     copies = lookup.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
     return salted.join(copies, [on, "_salt"], how).drop("_salt")

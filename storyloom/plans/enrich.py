@@ -80,6 +80,8 @@ def run_stages(
     ``resume_from`` names the first stage to compute again. Without it, stages whole
     on disk are read back, so a run that was cut short goes on where it stopped.
     """
+    if sample is not None and not key:
+        raise ValueError("a sample needs the key that orders it")
     current, reports, redo = source, [], False
     for name, step in STAGES.items():
         path = f"{folder.rstrip('/')}/{name}"

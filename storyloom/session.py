@@ -1,4 +1,4 @@
-"""Session, scratch space and small-input balancing."""
+"""Session, scratch space and spreading."""
 
 from __future__ import annotations
 
@@ -8,11 +8,6 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-# Inputs below this size are spread over the cores with one shuffle; larger
-# inputs already arrive as many splits and are never shuffled for balance.
-SMALL_INPUT_BYTES = 256 * 1024 * 1024
-
-
 def build_session(app: str = "storyloom", master: str | None = None, **conf) -> SparkSession:
     """A session with the settings the plans assume. On a cluster leave ``master`` unset."""
     builder = SparkSession.builder.appName(app)
@@ -42,20 +37,18 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        if not spark.sparkContext.master.startswith("local"):
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
         base = tempfile.mkdtemp(prefix="storyloom-")
         spark.conf.set("spark.checkpoint.dir", base)
     return os.path.join(base, f"{name}-{uuid.uuid4().hex}")
 
 
-def balance_small(df: DataFrame, key: str, limit_bytes: int = SMALL_INPUT_BYTES) -> DataFrame:
-    """Spread a small scan over all cores by ``key``; leave a large one as it is.
+def spread(df: DataFrame, key: str, parts: int | None = None) -> DataFrame:
+    """Deal the rows over ``parts`` tasks (all cores) by ``key``: one shuffle, for the caller to ask for.
 
-    A small Parquet file has one row group and so one busy task. Hash on the key
+    Of use where a file has one row group and so one busy task. Hash on the key
     keeps the placement the same when a task is run again.
     """
-    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
-    if size >= limit_bytes:
-        return df
-    return df.repartition(df.sparkSession.sparkContext.defaultParallelism, key)
+    return df.repartition(parts or df.sparkSession.sparkContext.defaultParallelism, key)

@@ -9,7 +9,7 @@ from storyloom.functions.sentiment import add_sentiment
 from storyloom.plans import marts
 from storyloom.plans.enrich import enrich
 from storyloom.plans.filters import Filters, label_options, select_present
-from storyloom.session import balance_small
+from storyloom.session import spread
 from tests.conftest import plan_text
 
 
@@ -53,8 +53,8 @@ def test_filter_on_a_score_does_not_blow_up_the_plan(spark, sf_dir):
 
 def test_small_scans_are_spread_and_large_ones_left_alone(spark, sf_dir):
     df = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    assert "REPARTITION_BY_NUM" in plan_text(balance_small(df, "doc_id"))
-    assert "Exchange" not in plan_text(balance_small(df, "doc_id", limit_bytes=1))
+    assert "REPARTITION_BY_NUM" in plan_text(spread(df, "doc_id"))
+    assert spread(df, "doc_id", 3).rdd.getNumPartitions() == 3
 
 
 def test_absent_columns(spark):

@@ -29,7 +29,7 @@ def test_suffix_rules(spark):
     words = {
         "banks": "bank", "companies": "company", "classes": "class", "stopped": "stop", "running": "run",
         "denied": "deny", "created": "create", "calling": "call", "disputed": "dispute", "status": "status",
-        "loss": "loss", "string": "string", "a" * 70 + "s": "a" * 70 + "s",
+        "loss": "loss", "string": "string", "a" * 70 + "s": "a" * 70, "b" * 90_000 + "atted": "b" * 90_000 + "at",
     }
     df = spark.createDataFrame([(w,) for w in words], "w string")
     got = {r.w: r.l for r in df.select("w", suffix_lemma(F.col("w")).alias("l")).collect()}
@@ -58,3 +58,32 @@ def test_lookup_finds_every_key_and_refuses_large_tables(spark):
     assert df.where(~find(F.col("k")).eqNullSafe(F.col("v"))).count() == 0
     with pytest.raises(ValueError):
         lookup.hash_lookup(dict.fromkeys(map(str, range(lookup.MAX_LITERAL_ENTRIES + 1)), 1), "int")
+
+
+def test_numbers_of_any_length(spark):
+    from storyloom.functions.entities import LAW_RULES, MONEY_RULES
+
+    for groups in (30, 20_000):
+        law = "section 1" + ".22" * groups
+        money = "$1" + ",222" * groups
+        row = spark.createDataFrame([(law, money)], "a string, b string")
+        number = [r for r in LAW_RULES if "section" in r.expression][0].expression
+        got = row.select(F.regexp_extract("a", number, 0), F.regexp_extract("b", MONEY_RULES[0].expression, 0)).first()
+        assert tuple(got) == (law, money)
+
+
+def test_sample_needs_a_key(spark):
+    from storyloom.plans.enrich import run_stages
+
+    with pytest.raises(ValueError):
+        run_stages(spark, None, "unused", sample=5)
+
+
+def test_salt_splits_equal_rows(spark, monkeypatch):
+    from storyloom.operators import joins
+
+    monkeypatch.setattr(joins, "BROADCAST_ROWS", 0)
+    df = spark.range(20_000).select(F.lit("k").alias("k"))
+    table = spark.createDataFrame([("k", 1)], "k string, v int")
+    joined = joins.lookup_join(df, table, "k")
+    assert joined.count() == 20_000 and joined.columns == ["k", "v"]
