@@ -4,8 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-# Value ranges per group in the first step.
-BUCKETS = 4096
+from storyloom.functions.let import let
+
+# Value ranges per group in the first step: STEP ranges of STEP ranges each.
+STEP = 64
+RANGES = STEP * STEP
 
 
 def measures_long(df: DataFrame, measures: dict[str, Column]) -> DataFrame:
@@ -46,24 +49,40 @@ def exact_quantiles(long: DataFrame, groups: list[str], quantiles: list[float])
     return quantiles_of(counted_values(long, groups), quantiles)
 
 
+def _range_of(v: Column, coarse: Column, cuts: Column) -> Column:
+    """How many of the sorted ``cuts`` lie below v; ``coarse`` holds the last of each ``STEP`` of them."""
+    below = lambda part: F.size(F.filter(part, lambda c: c < v))
+    return let(below(coarse), lambda i: i * STEP + below(F.slice(cuts, i * STEP + 1, STEP)))
+
+
+def value_ranges(counted: DataFrame) -> DataFrame:
+    """(group, b, first, last, c): about ``RANGES`` ranges per group with as many different values in each.
+
+    The ends come from approximate percentiles of the different values, so that far outliers
+    do not push all others into one range.
+    """
+    # as text, because a literal of thousands of parts takes seconds to plan
+    shares = F.from_json(F.lit(str([i / RANGES for i in range(1, RANGES)])), "array<double>")
+    cuts = counted.groupBy("group").agg(F.percentile_approx("v", shares, 10_000).alias("cuts"))
+    cuts = cuts.withColumn("coarse", F.filter("cuts", lambda c, i: i % STEP == STEP - 1))
+    found = _range_of(F.col("v"), F.col("coarse"), F.col("cuts"))
+    placed = counted.join(F.broadcast(cuts), "group").withColumn("b", found)
+    return placed.groupBy("group", "b").agg(
+        F.sum("c").alias("c"), F.min("v").alias("first"), F.max("v").alias("last")
+    )
+
+
 def quantiles_of(counted: DataFrame, quantiles: list[float]) -> DataFrame:
     """Quantiles from value counts.
 
-    1. The counts are added up in 4,096 equal value ranges per group; running totals
-       over those few rows show which range holds each wanted rank.
-    2. Only the values of those ranges are ranked.
+    1. The counts are added up in value ranges; running totals over those few rows
+       show which range holds each wanted rank.
+    2. Only the values between the ends of those ranges are ranked.
 
     Every step reads the one shuffled table of value counts, which Spark computes once.
     The groups were listed by name, which bounds every table that is broadcast.
     """
-    extent = extents(counted).drop("mean")
-    spread = F.col("hi") - F.col("lo")
-    bucket = F.when(
-        spread > 0, F.least(F.floor((F.col("v") - F.col("lo")) / spread * BUCKETS), F.lit(BUCKETS - 1))
-    ).otherwise(0)
-    placed = counted.join(F.broadcast(extent), "group").withColumn("b", bucket.cast("int"))
-
-    by_bucket = placed.groupBy("group", "b").agg(F.sum("c").alias("c"), F.max("n").alias("n"))
+    by_range = value_ranges(counted).withColumn("n", F.sum("c").over(Window.partitionBy("group")))
     running = Window.partitionBy("group").orderBy("b")
     wanted = F.array(
         *[
@@ -73,16 +92,16 @@ def quantiles_of(counted: DataFrame, quantiles: list[float]) -> DataFrame:
         ]
     )
     targets = (
-        by_bucket.withColumn("before", F.sum("c").over(running) - F.col("c"))
+        by_range.withColumn("before", F.sum("c").over(running) - F.col("c"))
         .withColumn(
             "want",
             F.filter(wanted, lambda w: (w["rank"] >= F.col("before")) & (w["rank"] < F.col("before") + F.col("c"))),
         )
         .where(F.size("want") > 0)
-        .select("group", "b", "before", "want")
+        .select("group", "b", "first", "last", "n", "before", "want")
     )
     # at most 2 rows per group and quantile
-    inside = placed.select("group", "b", "v", "c", "n").join(F.broadcast(targets), ["group", "b"])
+    inside = counted.join(F.broadcast(targets), "group").where(F.col("v").between(F.col("first"), F.col("last")))
     upto = F.col("before") + F.sum("c").over(Window.partitionBy("group", "b").orderBy("v"))
     hits = (
         inside.withColumn("upto", upto)

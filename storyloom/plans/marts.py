@@ -11,9 +11,9 @@ from storyloom.operators.entity_ranking import entity_mentions, top_entities
 from storyloom.operators.histogram import histogram
 from storyloom.operators.profile import yearly_counts
 from storyloom.operators.quantiles import (
-    exact_quantiles,
     one_quantile,
     pivot_quantiles,
+    quantiles_of,
 )
 from storyloom.operators.sampling import sample_uniform
 from storyloom.plans.filters import ALL, Filters, select_present
@@ -132,13 +132,13 @@ def diversity_histogram(df: DataFrame, filters: Filters = ALL, bins: int = 40) -
 
 def word_count_boxes(df: DataFrame, filters: Filters = ALL, upto: float = 0.98, labels=LABELS) -> DataFrame:
     """Box statistics of the word count per label, rows above the 98th percentile left out."""
-    kept = filters.apply(df)
-    limit = one_quantile(kept, F.col("word_count"), upto)
-    rows = kept.where((F.col("word_count") <= limit) & F.col("vader_label").isin(*labels)).select(
-        F.col("vader_label").alias("group"), F.col("word_count").cast("double").alias("v")
-    )
+    n = F.count(F.lit(1)).alias("c")
+    pairs = filters.apply(df).groupBy("vader_label", F.col("word_count").cast("double").alias("v")).agg(n)
+    merged = pairs.where(F.col("v").isNotNull()).groupBy("v").agg(F.sum("c").alias("c"))
+    limit = quantiles_of(merged.select(F.lit("all").alias("group"), "v", "c"), [upto]).select("value").scalar()
+    rows = pairs.where((F.col("v") <= limit) & F.col("vader_label").isin(*labels)).withColumnRenamed("vader_label", "group")
     names = {0.25: "q25", 0.5: "median", 0.75: "q75"}
-    boxes = pivot_quantiles(exact_quantiles(rows, list(labels), list(names)), names)
+    boxes = pivot_quantiles(quantiles_of(rows, list(names)), names)
     reach = 1.5 * (F.col("q75") - F.col("q25"))
     # one row per label: at most len(labels)
     inside = F.col("v").between(F.col("q25") - reach, F.col("q75") + reach)
@@ -146,7 +146,7 @@ def word_count_boxes(df: DataFrame, filters: Filters = ALL, upto: float = 0.98,
         rows.join(F.broadcast(boxes), "group")
         .groupBy("group", "q25", "median", "q75")
         .agg(
-            F.count(F.lit(1)).alias("n"),
+            F.sum("c").alias("n"),
             F.min(F.when(inside, F.col("v"))).alias("low_fence"),
             F.max(F.when(inside, F.col("v"))).alias("high_fence"),
         )

@@ -43,6 +43,16 @@ def test_describe_matches_pandas(spark):
         assert (r["count"], r.mean, r.std, r.min, r.q25, r.median, r.q75, r.max) == pytest.approx(tuple(want))
 
 
+def test_an_outlier_leaves_the_ranges_even(spark):
+    values = spark.range(200_000).selectExpr("'x' AS `group`", "id / 7.0D AS v", "1L AS c")
+    outlier = values.limit(1).withColumn("v", F.lit(1e12))
+    ranges = quantiles.value_ranges(values.union(outlier)).collect()
+    assert sum(r.c for r in ranges) == 200_001
+    assert max(r.c for r in ranges) < 2_000
+    ends = sorted((r["first"], r["last"]) for r in ranges)
+    assert all(a[1] < b[0] for a, b in zip(ends, ends[1:]))
+
+
 def test_quantile_of_nothing_is_null(spark):
     df = spark.createDataFrame([(None,)], "x double")
     assert spark.range(1).select(quantiles.one_quantile(df, F.col("x"), 0.5)).first()[0] is None
