@@ -11,10 +11,18 @@ from storyloom.functions.lookup import MAX_LITERAL_ENTRIES
 
 
 def read_valence_file(spark: SparkSession, path: str) -> DataFrame:
-    """The published lexicon layout: word, mean valence, deviation and ratings, tab-separated."""
+    """The published lexicon layout: word, mean valence, deviation and ratings, tab-separated.
+
+    The scorer looks up lower-case words. A word with one capital in front is read as lower case; other
+    entries with capitals (emoticons such as ``:D``) would match what they do not mean and are left out.
+    A word listed with two different valences is an error.
+    """
     raw = spark.read.csv(path, sep="\t", schema="word string, valence double, deviation double, ratings string", quote="")
-    kept = raw.where(F.col("word").isNotNull() & F.col("valence").isNotNull())
-    return kept.select(F.lower("word").alias("word"), "valence").dropDuplicates(["word"])
+    word = F.when(F.col("word").rlike("^[A-Z][a-z]+$"), F.lower("word")).otherwise(F.col("word"))
+    kept = raw.withColumn("word", word).where((F.col("word") == F.lower("word")) & F.col("valence").isNotNull())
+    ends = kept.groupBy("word").agg(F.min("valence").alias("valence"), F.max("valence").alias("other"))
+    conflict = F.raise_error(F.concat(F.lit("two valences for "), F.col("word"))).cast("double")
+    return ends.select("word", F.when(F.col("valence") == F.col("other"), F.col("valence")).otherwise(conflict).alias("valence"))
 
 
 def as_dict(table: DataFrame, key: str, value: str, limit: int = MAX_LITERAL_ENTRIES) -> dict:

@@ -129,3 +129,14 @@ def test_valence_file(spark, tmp_path):
     assert got == [round(2.5 / (2.5**2 + 15) ** 0.5, 4), round(-3.9 / (3.9**2 + 15) ** 0.5, 4)]
     with pytest.raises(ValueError):
         term_files.as_dict(spark.range(5).withColumn("v", F.lit(1)), "id", "v", limit=4)
+
+
+def test_valence_file_capitals_and_conflicts(spark, tmp_path):
+    from storyloom.sources import term_files
+
+    path = tmp_path / "lexicon.txt"
+    path.write_text(":D\t2.3\t0.5\t[2]\nXD\t2.7\t0.5\t[3]\nxd\t2.8\t0.5\t[3]\nxd\t2.8\t0.6\t[3]\n")
+    assert [tuple(r) for r in term_files.read_valence_file(spark, str(path)).collect()] == [("xd", 2.8)]
+    path.write_text("fine\t0.8\t0.5\t[1]\nFine\t0.9\t0.5\t[1]\n")
+    with pytest.raises(Exception, match="two valences for fine"):
+        term_files.read_valence_file(spark, str(path)).collect()
