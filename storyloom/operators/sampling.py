@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from storyloom.operators.joins import lookup_join
+
 # Hex digits of the hash used to find the cut: 16^4 = 65,536 buckets.
 PREFIX = 4
 
@@ -46,15 +48,16 @@ def sample_by_group(df: DataFrame, group: str, key: str, n: int = 3, seed: int =
     cuts = (
         counts.withColumn("_before", F.sum("_c").over(running) - F.col("_c"))
         .where(F.col("_before") < n)
-        .select(group, "_p")
+        .groupBy(group)
+        .agg(F.max("_p").alias("_cut"))
     )
-    # One row per kept (group, prefix): the join filters, the ranking is over few rows.
-    near = hashed.join(cuts, [group, "_p"], "left_semi")
+    # One row per group: where they are few enough, whole rows are filtered in place; the ranking is over few rows.
+    near = lookup_join(hashed, cuts, group, "inner").where(F.col("_p") <= F.col("_cut"))
     ranked = near.withColumn(
         "_rn",
         F.row_number().over(Window.partitionBy(group).orderBy(sample_rank(key, seed), F.col(key))),
     )
-    return ranked.where(F.col("_rn") <= n).drop("_rn", "_p")
+    return ranked.where(F.col("_rn") <= n).select(*(f"`{c}`" for c in df.columns))
 
 
 def first_rows(df: DataFrame, key: str, n: int | None) -> DataFrame:
