@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import re
+from pathlib import Path
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from storyloom.llm.common import digest, stored
 
-# Published licence texts and common one-line notices.
+# Published licence texts and common one-line notices; longer texts are in the folder beside this file.
 KNOWN: dict[str, list[str]] = {
     "MIT": [
         "Released under the MIT License.",
@@ -45,6 +48,45 @@ THE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH RE
     ],
 }
 
+TEXTS = Path(__file__).parent / "licences"
+# Titles under which short licences are published, beside none.
+TITLES: dict[str, list[str]] = {
+    "MIT": ["The MIT License", "The MIT License (MIT)", "MIT License (MIT)"],
+    "ISC": ["ISC License", "The ISC License", "ISC License (ISC)"],
+    "BSD-2-Clause": ["BSD 2-Clause License", 'BSD 2-Clause "Simplified" License', "The BSD 2-Clause License"],
+    "BSD-3-Clause": ["BSD 3-Clause License", 'BSD 3-Clause "New" or "Revised" License', "The BSD 3-Clause License"],
+}
+
+
+def _published() -> dict[str, list[str]]:
+    """The texts of the folder, each as published and in the other forms that it is commonly handed on in."""
+    out = {p.stem: [p.read_text(encoding="utf-8")] for p in sorted(TEXTS.glob("*.txt"))}
+    for name, texts in out.items():
+        # without the advice on how to apply it
+        end = re.search(r"END OF TERMS AND CONDITIONS", texts[0])
+        if end:
+            texts += [texts[0][: end.end()], texts[0][: end.start()]]
+        # with the holder of the rights filled in, which is left out like any such line
+        texts += [t.replace("Copyright [yyyy] [name of copyright owner]", "") for t in texts if "[yyyy]" in t]
+    regents = out["BSD-3-Clause"][0]
+    holder = regents.replace("the University", "the copyright holder").replace("REGENTS AND", "COPYRIGHT HOLDERS AND").replace("REGENTS OR", "COPYRIGHT HOLDER OR")
+    two = re.sub(r"3\. Neither.*?permission\.\n", "", holder, flags=re.S)
+    for name, texts in (("BSD-3-Clause", [regents, holder]), ("BSD-2-Clause", [two])):
+        # clauses with numbers or bullets
+        out[name] = [form for t in texts for form in (t, re.sub(r"(?m)^[123]\. ", "* ", t))]
+    return out
+
+
+def _add_published() -> None:
+    for name, texts in _published().items():
+        KNOWN[name] = KNOWN.get(name, []) + texts
+    for name, titles in TITLES.items():
+        bodies = [t.removeprefix("MIT License\n") for t in KNOWN[name] if len(t) > 500]
+        KNOWN[name][:0] = [t + "\n\n" + b for t in titles for b in bodies] + bodies * (name == "MIT")
+
+
+_add_published()
+
 # Words and phrases that count as the same; of each pair the first becomes the second.
 SAME: list[tuple[str, str]] = [
     ("licence", "license"),
@@ -64,12 +106,16 @@ HOLDER = r"^[ \t#/*;!-]*(copyright[ \t]*(\(c\)|©|<|[0-9])|\(c\)[ \t]|©|all rig
 NOT_WORD = r"[^\p{L}\p{N}]+"
 
 
+def _same(out: Column) -> Column:
+    for a, b in SAME:
+        out = F.replace(out, F.lit(f" {a} "), F.lit(f" {b} "))
+    return out
+
+
 def canonical_line(line: Column) -> Column:
     """Lower case, no punctuation, one blank between words, equivalent spellings made one; empty for a copyright line."""
     low = F.lower(line)
-    out = F.concat(F.lit(" "), F.regexp_replace(low, NOT_WORD, " "), F.lit(" "))
-    for a, b in SAME:
-        out = F.replace(out, F.lit(f" {a} "), F.lit(f" {b} "))
+    out = _same(F.concat(F.lit(" "), F.regexp_replace(low, NOT_WORD, " "), F.lit(" ")))
     return F.when(low.rlike(HOLDER), "").otherwise(F.trim(F.regexp_replace(out, "  +", " ")))
 
 
@@ -94,20 +140,23 @@ def licence_scan(
 
     One row per row that goes in: doc_id, text_digest (SHA-256 of the canonical text), text_licence (null if the text
     is no known one), line_licences (sorted, each once), n_lines (lines that match). Of several names for one
-    text the first by code point counts. Null and empty texts match nothing; repeated rows repeat; a null id stays
+    text the first by code point counts. Texts are matched with phrases that a line break cuts made one; ``text_digest``
+    is of the lines as they are. Null and empty texts match nothing; repeated rows repeat; a null id stays
     null; an empty table gives an empty result; other columns are ignored.
     """
     spark = documents.sparkSession
     known = known_texts(spark) if known is None else known
     whole = lambda lines: F.array_join(lines, " ")
+    # a phrase that a line break cuts becomes one after lines are joined
+    rejoined = lambda lines: F.trim(_same(F.concat(F.lit(" "), whole(lines), F.lit(" "))))
     pair = lambda x: F.struct(*(h.alias(n) for h, n in zip(digest(x), ("h1", "h2"))))
-    known = known.select("licence", whole(canonical_lines(F.col("text"))).alias("c")).filter("c != ''")
+    known = known.select("licence", rejoined(canonical_lines(F.col("text"))).alias("c")).filter("c != ''")
     known = known.groupBy(pair(F.col("c")).alias("h")).agg(F.min("licence").alias("licence"))
     rows = documents.select(documents[id_col].alias("doc_id"), documents[text_col].alias("text"))
     key = digest(F.col("doc_id"), F.col("text"))
     rows = rows.select("doc_id", key[0].alias("d1"), key[1].alias("d2"), canonical_lines(F.col("text")).alias("lines"))
     rows = rows.select(
-        "doc_id", "d1", "d2", F.transform("lines", pair).alias("lines"), pair(whole(F.col("lines"))).alias("whole"),
+        "doc_id", "d1", "d2", F.transform("lines", pair).alias("lines"), pair(rejoined(F.col("lines"))).alias("whole"),
         F.sha2(whole(F.col("lines")), 256).alias("text_digest"),
     )
     rows = stored(rows, "canonical-digests")

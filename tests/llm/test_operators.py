@@ -4,6 +4,7 @@ import hashlib
 import itertools
 import random
 import re
+import textwrap
 import zlib
 
 import numpy as np
@@ -347,3 +348,23 @@ def test_pipeline_near_dedup(spark, docs):
     assert sum(not (t or "").split() for t in kept) == 1
     full = [shingles(t) for t in kept if (t or "").split()]
     assert all(len(a & b) < 0.8 * len(a | b) for a, b in itertools.combinations(full, 2)) and len(full) == 6
+
+
+def test_published_licences(spark):
+    """Every listed text is found as it is, rewrapped paragraph by paragraph, and in other spelling."""
+    rows, names = [], []
+    for name, texts in KNOWN.items():
+        for text in filter(lambda t: len(t) > 500, texts):
+            paragraphs = [p for p in re.split(r"\n\s*\n", text)]
+            wrapped = "\n\n".join(
+                p if re.search(r"(?im)^\W*(copyright|\(c\)|©|all rights)", p) else textwrap.fill(" ".join(p.split()), 61, break_long_words=False, break_on_hyphens=False)
+                for p in paragraphs
+            )
+            spelled = re.sub(r"\blicense\b", "licence", wrapped)
+            spelled = re.sub(r"\borganization\b", "organisation", spelled).replace('"', "''")
+            for form in (text, wrapped, spelled.upper()):
+                rows.append((len(rows), form))
+                names.append(name)
+    got = {r["doc_id"]: r["text_licence"] for r in licence_scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert [(i, n, got[i]) for i, n in enumerate(names) if got[i] != n] == []
+    assert {"Apache-2.0", "GPL-2.0", "GPL-3.0", "LGPL-2.1", "LGPL-3.0", "MPL-2.0", "BSD-2-Clause", "BSD-3-Clause", "MIT", "ISC"} <= set(names)
