@@ -19,8 +19,10 @@ from storyloom.llm.ragged import PairTable, agenda, merge_leftmost
 SPACE_MARK = "▁"
 # No piece has a blank after another character, so these chunks never merge with each other.
 CHUNK = re.compile(r" *[^ ]+| +")
-# Chunks that a worker remembers, per variant.
-REMEMBERED = 150_000
+# Chunks, and segmentations of chunks, that a worker remembers; beyond that it starts anew.
+REMEMBERED = 300_000
+# Candidates of a chunk whose skips are told apart by bits; a chunk with more is segmented anew each time.
+SPANS = 40
 # Longer chunks go through the queue one by one.
 LONG = 48
 _M1, _M2, _GOLD = np.uint64(0xFF51AFD7ED558CCD), np.uint64(0xC4CEB9FE1A85EC53), np.uint64(0x9E3779B97F4A7C15)
@@ -70,7 +72,11 @@ class Pieces:
         self.letters = (-1 - np.arange(0x110000)).astype(np.int32)
         for c, i in self.letter.items():
             self.letters[ord(c)] = i
-        self.known: dict[tuple, dict[str, tuple[int, ...]]] = {}
+        # what a merge can make: the spans of a chunk that may be skipped
+        self.merged = {t.replace(SPACE_MARK, " ") for t in (texts[i] for i in set(made))}
+        self.longest = max(map(len, self.merged), default=0)
+        self.spans: dict[str, tuple[tuple[int, ...], tuple[int, ...]]] = {}
+        self.known: dict[tuple[str, int], tuple[int, ...]] = {}
 
     def symbols(self, chunk: str) -> list[int]:
         return [self.letter.get(c, -1 - ord(c)) for c in chunk]
@@ -84,18 +90,23 @@ class Pieces:
             out.extend((s,) if s >= 0 else (self.bytes_[b] for b in chr(-1 - s).encode("utf-8")))
         return tuple(out)
 
-    def learn(self, chunks: list[str], dropout: float, key: int, known: dict[str, tuple[int, ...]]) -> None:
-        """Segment new chunks. A candidate is left out if the hash of key, chunk and span is below the rate."""
-        bar = np.uint64(min(int(dropout * 2.0**64), 2**64 - 1))
-        keys = np.array([hashed(c, key) for c in chunks], np.uint64)
+    def candidates(self, chunk: str) -> tuple[tuple[int, ...], tuple[int, ...]]:
+        """Starts and ends of the spans that a merge can make."""
+        n, most, merged = len(chunk), self.longest, self.merged
+        found = [(a, b) for a in range(n - 1) for b in range(a + 2, min(n, a + most) + 1) if chunk[a:b] in merged]
+        return tuple(a for a, _ in found), tuple(b for _, b in found)
+
+    def segment(self, chunks: list[str], keys: np.ndarray, bar: np.uint64) -> list[tuple[int, ...]]:
+        """Ids of each chunk. A candidate is left out if the hash of the chunk's key and the span is below ``bar``."""
+        out: list[tuple[int, ...]] = [()] * len(chunks)
         for i, c in enumerate(chunks):
             if len(c) > LONG:
                 k = keys[i : i + 1]
-                skip = (lambda a, b: bool(keyed(k, np.array([a]), np.array([b]))[0] < bar)) if dropout else None
-                known[c] = self.spelled(agenda(self.symbols(c), self.table, skip))
+                skip = (lambda a, b: bool(keyed(k, np.array([a]), np.array([b]))[0] < bar)) if bar else None  # noqa: B023
+                out[i] = self.spelled(agenda(self.symbols(c), self.table, skip))
         at = [i for i, c in enumerate(chunks) if len(c) <= LONG]
         if not at:
-            return
+            return out
         mine = keys[at]
         lengths = np.array([len(chunks[i]) for i in at])
         flat = self.letters[np.frombuffer("".join([chunks[i] for i in at]).encode("utf-32-le"), np.uint32)]
@@ -105,34 +116,82 @@ class Pieces:
         odd = (np.minimum.reduceat(merged, ends - sizes) < 0).tolist()
         merged, a = merged.tolist(), 0
         for i, b, spell in zip(at, ends.tolist(), odd):
-            known[chunks[i]] = self.spelled(merged[a:b]) if spell else tuple(merged[a:b])
+            out[i] = self.spelled(merged[a:b]) if spell else tuple(merged[a:b])
             a = b
+        return out
 
-    def encode(self, texts: list[str | None], dropout: float, seed: int, variants: int) -> list[list[int]]:
-        """Ids of each text. Chunk k of a text takes variant (hash of the text + k) mod ``variants``."""
-        variants = variants if dropout else 1
+    def skipped(self, chunks: list[str], which: np.ndarray, keys: np.ndarray, bar: np.uint64) -> np.ndarray:
+        """Per occurrence (``which`` chunk, and its key) the bits of the candidates that are left out; -1 if not told apart."""
+        spans = self.spans
+        new = [c for c in chunks if c not in spans]
+        if len(spans) + len(new) > REMEMBERED:
+            spans.clear()
+            new = chunks
+        for c in new:
+            spans[c] = self.candidates(c) if len(c) <= LONG else ((), ())
+        mine = [spans[c] for c in chunks]
+        n = np.array([len(x[0]) for x in mine], np.int64)
+        told = (n <= SPANS) & np.array([len(c) <= LONG for c in chunks])
+        mine = [x if ok else ((), ()) for x, ok in zip(mine, told)]
+        n[~told] = 0
+        starts = np.fromiter(chain.from_iterable(x[0] for x in mine), np.int64)
+        ends = np.fromiter(chain.from_iterable(x[1] for x in mine), np.int64)
+        first = np.cumsum(n) - n
+        bits = np.where(told, 0, -1)[which]
+        some = np.flatnonzero(n[which])
+        size = n[which[some]]
+        begin = np.cumsum(size) - size
+        bit = np.arange(size.sum()) - np.repeat(begin, size)
+        at = bit + np.repeat(first[which[some]], size)
+        hit = keyed(np.repeat(keys[some], size), starts[at], ends[at]) < bar
+        if len(some):
+            bits[some] = np.bitwise_or.reduceat(np.where(hit, np.int64(1) << bit, 0), begin)
+        return bits
+
+    def encode(self, texts: list[str | None], dropout: float, seed: int, ids: list | int = 0) -> list[list[int]]:
+        """Ids of each text. Each occurrence of a chunk is cut by a key of its own: of seed, document (id and text) and place.
+
+        Which candidates of an occurrence are skipped decides its segmentation, so that is remembered by chunk
+        and skipped candidates: the result is the same as without memory.
+        """
+        bar = np.uint64(min(int(dropout * 2.0**64), 2**64 - 1))
         split = [CHUNK.findall(" " + t) if t else [] for t in texts]
-        shift = [hashed(t, seed) % variants if t else 0 for t in texts]
-        memories = []
-        for v in range(variants):
-            need: set[str] = set()
-            for chunks, s in zip(split, shift):
-                need.update(chunks[(v - s) % variants :: variants])
-            known = self.known.setdefault((dropout, seed, v), {})
-            new = need.difference(known)
-            if len(known) + len(new) > REMEMBERED:
-                known.clear()
-                new = need
-            if new:
-                self.learn(list(new), dropout, seed * 1_000_003 + v, known)
-            memories.append(known)
-        out = []
-        for chunks, s in zip(split, shift):
-            found: list = [()] * len(chunks)
-            for v, known in enumerate(memories):
-                a = (v - s) % variants
-                found[a::variants] = map(known.__getitem__, chunks[a::variants])
-            out.append(list(chain.from_iterable(found)))
+        every = list(chain.from_iterable(split))
+        if not every:
+            return [[] for _ in texts]
+        sizes = np.array([len(x) for x in split], np.int64)
+        ids = ids if isinstance(ids, list) else [ids] * len(texts)
+        of_text = np.array([hashed(t, hashed(repr(i), seed)) if t else 0 for i, t in zip(ids, texts)], np.uint64)
+        place = np.arange(len(every)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+        keys = keyed(np.repeat(of_text, sizes), place, np.full(len(every), -1))
+        chunks = list(dict.fromkeys(every))
+        number = {c: i for i, c in enumerate(chunks)}
+        which = np.fromiter(map(number.__getitem__, every), np.int64, len(every))
+        if bar:
+            bits = self.skipped(chunks, which, keys, bar)
+        else:
+            bits = np.zeros(len(every), np.int64)
+        # occurrences that are told apart share a code if chunk and skips agree
+        alone = np.flatnonzero(bits < 0)
+        code = (which << SPANS) | bits
+        code[alone] = -1 - alone
+        _, sample, place = np.unique(code, return_index=True, return_inverse=True)
+        known, found = self.known, [()] * len(sample)
+        names = [(every[i], b) for i, b in zip(sample.tolist(), bits[sample].tolist())]
+        new = [j for j, name in enumerate(names) if name[1] < 0 or name not in known]
+        if len(known) + len(new) > REMEMBERED:
+            known.clear()
+            new = list(range(len(names)))
+        cut = self.segment([names[j][0] for j in new], keys[sample[new]], bar) if new else []
+        for j, x in zip(new, cut):
+            found[j] = x
+            if names[j][1] >= 0:
+                known[names[j]] = x
+        found = [x or known[name] for x, name in zip(found, names)]
+        out, a, place = [], 0, place.tolist()
+        for n in sizes.tolist():
+            out.append(list(chain.from_iterable(map(found.__getitem__, place[a : a + n]))))
+            a += n
         return out
 
     def decode(self, ids) -> str:
@@ -145,15 +204,20 @@ def pieces(path: str) -> Pieces:
     return Pieces(path)
 
 
+def _placed(rows: DataFrame) -> DataFrame:
+    """With ``place``, a number of id and text that does not depend on how rows are dealt into batches."""
+    return rows.withColumn("place", F.xxhash64("doc_id", "text"))
+
+
 def encode(
-    documents: DataFrame, model: str, dropout: float = 0.1, seed: int = 42, variants: int = 2,
+    documents: DataFrame, model: str, dropout: float = 0.1, seed: int = 42,
     id_col: str = "doc_id", text_col: str = "text",
 ) -> DataFrame:
     """Ids (array<int>) of every whole text under a merge-type SentencePiece model.
 
     Candidates leave the agenda best score first, then leftmost; each is skipped with
-    probability ``dropout``, decided by a hash of seed, variant, chunk and span, so that reruns agree
-    and the same word is cut in up to ``variants`` ways. Rate 0 gives the model's own encoding (but
+    probability ``dropout``, decided by a hash of seed, document (id and text), place of the chunk in it and span, so that
+    reruns agree and each occurrence of a word is cut on its own. Rate 0 gives the model's own encoding (but
     for a literal U+2581, which is spelled in bytes so that it decodes as itself).
 
     Nothing is shuffled. One row comes out per row that goes in: null and empty texts have an empty
@@ -161,10 +225,10 @@ def encode(
     """
 
     def work(piece: pd.DataFrame) -> pd.DataFrame:
-        ids = pieces(model).encode(piece["text"].tolist(), dropout, seed, variants)
+        ids = pieces(model).encode(piece["text"].tolist(), dropout, seed, piece["place"].tolist())
         return pd.DataFrame({"doc_id": piece["doc_id"], "ids": [np.array(x, np.int32) for x in ids]})
 
-    rows = documents.select(documents[id_col].alias("doc_id"), documents[text_col].alias("text"))
+    rows = _placed(documents.select(documents[id_col].alias("doc_id"), documents[text_col].alias("text")))
     kind = rows.schema["doc_id"].dataType.simpleString()
     return map_texts(rows, work, f"doc_id {kind}, ids array<int>", limit=1_000_000)
 
@@ -181,7 +245,7 @@ def decode(ids: Column, model: str) -> Column:
 
 
 def segmentations(
-    documents: DataFrame, model: str, dropout: float = 0.1, seed: int = 42, variants: int = 2,
+    documents: DataFrame, model: str, dropout: float = 0.1, seed: int = 42,
 ) -> DataFrame:
     """Per document: number of ids, SHA-256 of the ids (4 little-endian bytes each), and whether they decode to the text.
 
@@ -190,7 +254,7 @@ def segmentations(
 
     def work(piece: pd.DataFrame) -> pd.DataFrame:
         find = pieces(model)
-        ids = find.encode(piece["text"].tolist(), dropout, seed, variants)
+        ids = find.encode(piece["text"].tolist(), dropout, seed, piece["place"].tolist())
         return pd.DataFrame(
             {
                 "doc_id": piece["doc_id"],
@@ -200,6 +264,6 @@ def segmentations(
             }
         )
 
-    rows = documents.select("doc_id", "text")
+    rows = _placed(documents.select("doc_id", "text"))
     kind = rows.schema["doc_id"].dataType.simpleString()
     return map_texts(rows, work, f"doc_id {kind}, n_ids long, ids_sha256 string, lossless boolean", limit=1_000_000)

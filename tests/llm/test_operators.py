@@ -368,3 +368,30 @@ def test_published_licences(spark):
     got = {r["doc_id"]: r["text_licence"] for r in licence_scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     assert [(i, n, got[i]) for i, n in enumerate(names) if got[i] != n] == []
     assert {"Apache-2.0", "GPL-2.0", "GPL-3.0", "LGPL-2.1", "LGPL-3.0", "MPL-2.0", "BSD-2-Clause", "BSD-3-Clause", "MIT", "ISC"} <= set(names)
+
+
+def test_dropout_per_occurrence(spark):
+    """Every occurrence of a word is cut on its own, and as it is without memory."""
+    find = pieces(PIECE_FILE)
+    n, word = 2_000, "internationalisation"
+    rows = [(1, f"{word} " * n), (2, f"{word} " * n), (1, f"{word} " * n)]
+    got = [r["ids"] for r in encode(spark.createDataFrame(rows, "doc_id long, text string"), PIECE_FILE).collect()]
+    assert got[0] == got[2] != got[1]
+    bounds, cuts, part, size = len(f" {word}"), set(), [], 0
+    for i in got[0]:
+        part.append(i)
+        size += len(find.out[i])
+        if size >= bounds:
+            cuts.add(tuple(part))
+            part, size = [], 0
+    assert len(cuts) > 20
+    text = " ".join(["the", "tokenisers", "of", word, "日本", "é"] * 50 + ["x" * 60])
+    first = find.encode([text], 0.1, 5, [7])
+    find.known.clear()
+    find.spans.clear()
+    find.encode([text * 2], 0.1, 5, [8])
+    assert find.encode([text], 0.1, 5, [7]) == first and find.decode(first[0]) == text
+    one = "tokenisers "[:-1]
+    free = find.encode([one], 0, 5)[0]
+    same = sum(find.encode([one], 0.1, 5, [k])[0] == free for k in range(400))
+    assert 40 < same < 400
