@@ -18,6 +18,9 @@ from storyloom.llm.op7_line_dedup import line_dedup
 from storyloom.llm.op8_licences import KNOWN, HOLDER, NOT_WORD, SAME, licence_scan
 from storyloom.llm.op9_exact_topk import top_products
 from storyloom.llm.op10_sentencepiece import segmentations
+from storyloom.llm.op11_hard_negatives import hard_negatives
+from storyloom.llm.op12_prefix_trie import prefix_trie
+from storyloom.llm.op13_sharding import shards
 
 
 def op1_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -63,11 +66,23 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return segmentations(read_table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hard_negatives(read_table(spark, sf_dir, "embeddings"))
+
+
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie(read_table(spark, sf_dir, "conversations"))
+
+
+def op13_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shards(read_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_lm_scoring, op2_ann, op3_token_counts, op4_mixing, op5_toxicity, op6_simhash, op7_line_dedup, op8_licences,
-        op9_exact_topk, op10_sentencepiece,
+        op9_exact_topk, op10_sentencepiece, op11_hard_negatives, op12_prefix_trie, op13_sharding,
     )
 }
 
@@ -78,6 +93,16 @@ _KNOWN = ", ".join(
     "({}, {})".format(*("'" + x.replace("'", "''") + "'" for x in (name, text))) for name, texts in KNOWN.items() for text in texts
 )
 
+# CRC-32 of a string's UTF-8 bytes, with the table ``crc`` of one row and column joined.
+_CRC_TABLE = """(SELECT list(e ORDER BY i) AS crc FROM (SELECT i,
+      list_reduce(list_prepend(i, [0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[]), lambda c, x: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS e
+      FROM range(256) r(i)))"""
+
+
+def _crc32(text: str) -> str:
+    byte = f"list_transform(regexp_extract_all(hex(encode({text})), '..'), lambda h: ('0x' || h)::BIGINT)"
+    return f"xor(list_reduce(list_prepend(4294967295, {byte}), lambda c, x: xor(c >> 8, crc[(xor(c, x) & 255) + 1])), 4294967295)"
+
 
 def _canonical(line: str) -> str:
     out = f"' ' || regexp_replace(lower({line}), '{NOT_WORD}', ' ', 'g') || ' '"
@@ -157,4 +182,48 @@ p AS (SELECT a.vec_id AS query_id, b.vec_id, list_dot_product(a.q, b.q)::BIGINT
       FROM v a JOIN v b ON a.vec_id % 50 = 0 AND a.vec_id <> b.vec_id)
 SELECT query_id, (row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id))::INTEGER AS rank, vec_id, score
 FROM p QUALIFY rank <= 5""",
+    "op11_hard_negatives": """
+WITH v AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                  list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS q FROM embeddings
+           WHERE label IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT a.vec_id AS anchor_id, b.vec_id, a.label = b.label AS same, list_dot_product(a.q, b.q)::BIGINT AS score
+      FROM v a JOIN v b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id),
+p AS (SELECT * FROM s WHERE same QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5)
+SELECT p.anchor_id, p.vec_id AS positive_id,
+       (row_number() OVER (PARTITION BY p.anchor_id, p.vec_id ORDER BY n.score DESC, n.vec_id))::INTEGER AS rank,
+       n.vec_id AS negative_id, p.score AS positive_score, n.score AS negative_score
+FROM p JOIN s n ON n.anchor_id = p.anchor_id AND NOT n.same AND 80 * p.score <= 100 * n.score AND n.score <= p.score
+QUALIFY rank <= 5""",
+    "op12_prefix_trie": f"""
+WITH t AS (SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST,
+                  md5(concat(strlen(coalesce(role, '')), ':', coalesce(role, ''), coalesce(text, ''))), strlen(coalesce(text, ''))) AS i,
+                  coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL),
+c AS (SELECT conv_id, {_crc32("conv_id::VARCHAR")} % 9 AS h FROM (SELECT DISTINCT conv_id FROM t), {_CRC_TABLE}),
+r AS (SELECT c.conv_id, t.i, role, text FROM c JOIN t ON t.conv_id = c.conv_id - c.conv_id % 5 AND t.i <= h
+      UNION ALL SELECT c.conv_id, t.i, role, text FROM c JOIN t ON t.conv_id = c.conv_id AND t.i > h),
+o AS (SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY i) AS d, md5(concat(strlen(role), ':', role, text)) AS m, strlen(text) AS bytes FROM r),
+p AS (SELECT conv_id, d, bytes, md5(string_agg(m, '') OVER (PARTITION BY conv_id ORDER BY d)) AS k FROM o
+      UNION ALL SELECT conv_id, 0, 0, '' FROM c),
+e AS (SELECT conv_id, max(d) AS d, arg_max(k, d) AS k FROM p GROUP BY conv_id),
+n AS (SELECT d, k, any_value(bytes) AS bytes, min(conv_id) AS conv_id, count(*) AS n_convs FROM p GROUP BY d, k),
+u AS (SELECT a.d, a.k, b.k AS up FROM n a LEFT JOIN p b ON b.conv_id = a.conv_id AND b.d = a.d - 1),
+ch AS (SELECT d - 1 AS d, up AS k, count(*) AS n_children FROM u WHERE up IS NOT NULL GROUP BY ALL),
+w AS (SELECT n.*, coalesce(n_children, 0) AS n_children FROM n LEFT JOIN ch USING (d, k)),
+sub AS (SELECT p.d, p.k, count(*) FILTER (w.n_children = 0) AS n_leaves, sum((w.n_convs - 1) * w.bytes)::BIGINT AS saved_tokens
+        FROM w JOIN p ON p.conv_id = w.conv_id AND p.d <= w.d GROUP BY ALL),
+f AS (SELECT d, k, sha256(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id)) AS ends_sha256 FROM e GROUP BY d, k)
+SELECT w.conv_id, w.d::BIGINT AS depth, up.conv_id AS parent_conv_id, w.n_convs, w.n_children, sub.n_leaves, sub.saved_tokens,
+       coalesce(f.ends_sha256, sha256('')) AS ends_sha256
+FROM w JOIN u USING (d, k) LEFT JOIN n up ON up.d = w.d - 1 AND up.k = u.up JOIN sub USING (d, k) LEFT JOIN f USING (d, k)""",
+    "op13_sharding": f"""
+WITH d AS (SELECT doc_id, strlen(coalesce(text, '')) + 1 AS size, {_crc32("coalesce(text, '')")} AS text_crc32,
+                  ('0x' || md5(coalesce(text, ''))[1:10])::BIGINT AS grp, ('0x' || md5(coalesce(doc_id::VARCHAR, ''))[1:5])::BIGINT AS own
+           FROM documents, {_CRC_TABLE}),
+s AS (SELECT *, sum(size) OVER w - size AS start, row_number() OVER w AS place FROM d
+      WINDOW w AS (ORDER BY grp, own, doc_id NULLS FIRST, size, text_crc32 ROWS UNBOUNDED PRECEDING)),
+g AS (SELECT *, min(start) OVER (PARTITION BY grp) AS g_start, sum(size) OVER (PARTITION BY grp) AS g_size, (SELECT sum(size) FROM d) AS total FROM s),
+x AS (SELECT *, least(CASE WHEN g_size * 256 <= total THEN 2 * g_start + g_size ELSE 2 * start + size END * 8 // (2 * total), 7)::INTEGER AS shard FROM g)
+SELECT doc_id, size::BIGINT AS size, text_crc32::BIGINT AS text_crc32, 'bytes' AS law, shard,
+       (place - min(place) OVER (PARTITION BY shard))::BIGINT AS slot, NULL::INTEGER AS grown_shard
+FROM x""",
 }
