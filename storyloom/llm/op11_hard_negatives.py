@@ -16,9 +16,10 @@ from storyloom.llm.op9_exact_topk import LONG, exact_products
 # Candidates of one tree, and anchors that meet it in one task, at most about.
 VECTORS, ANCHORS = 8_192, 4_096
 # Trees at least, so that a small table still spreads.
-LEAST = 24
-# A node of so many candidates or fewer is not divided further.
-LEAF = 48
+LEAST = 12
+# A node of so many candidates or fewer is not divided further, and a ball of so many or fewer is no node of its own: its
+# candidates are scored with those that stand alone, which costs less than bounding them.
+LEAF, BALL = 256, 32
 # Radius of a level, as a part of the level above.
 SHRINK = 0.75
 # Room for rounding in angles, and where an arc cosine turns steep.
@@ -45,20 +46,22 @@ def angles(points: np.ndarray, centre: np.ndarray) -> np.ndarray:
 
 
 def cover_tree(points: np.ndarray, labels: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(order, nodes): candidates in the order of the leaves, and rows (centre, radius, first, last, child, children, label).
+    """(order, nodes): candidates in the order of the tree, and rows (centre, radius, first, last, child, children, alone, label).
 
     Every level covers a node's candidates by balls of a smaller radius whose centres lie further apart than it; a ball's
-    own radius is then the largest angle to a candidate below. ``first`` to ``last`` are places in the order, ``child`` is
-    the first of ``children`` rows that follow each other, none for a leaf; ``label`` is the one label below, or -inf.
+    own radius is then the largest angle to a candidate below. ``first`` to ``last`` are places in the order; balls of
+    over ``BALL`` candidates are ``children`` rows that follow each other from ``child``; smaller balls, and the candidates of a
+    node too small to divide, are the places from ``alone`` to ``last``. ``label`` is the one label below, or -inf.
     """
     n = len(points)
     order, rows = np.arange(n), []
-    far = angles(points, points[0])
 
     def row(centre: int, away: np.ndarray, first: int, last: int) -> list[float]:
         own = labels[order[first:last]]
-        return [centre, float(away.max()) + SLACK, first, last, -1, 0, own[0] if (own == own[0]).all() and abs(own[0]) < 2**53 else -np.inf]
+        one = own[0] if (own == own[0]).all() and abs(own[0]) < 2**53 else -np.inf
+        return [centre, float(away.max()) + SLACK, first, last, 0, 0, first, one]
 
+    far = angles(points, points[0])
     rows.append(row(0, far, 0, n))
     queue: list[tuple[int, float]] = [(0, float(far.max()))]
     while queue:
@@ -80,12 +83,15 @@ def cover_tree(points: np.ndarray, labels: np.ndarray) -> tuple[np.ndarray, np.n
         if len(balls) == 1:
             queue.append((at, radius))
             continue
+        balls.sort(key=lambda ball: len(ball[1]) <= BALL)
         order[first:last] = np.concatenate([x for _, x, _ in balls])
-        rows[at][4], rows[at][5] = len(rows), len(balls)
+        rows[at][4] = len(rows)
         for c, members, away in balls:
-            queue.append((len(rows), float(away.max())))
-            rows.append(row(c, away, first, first + len(members)))
-            first += len(members)
+            if len(members) > BALL:
+                queue.append((len(rows), float(away.max())))
+                rows.append(row(c, away, first, first + len(members)))
+                first += len(members)
+        rows[at][5], rows[at][6] = len(rows) - rows[at][4], first
     nodes = np.array(rows)
     place = np.empty(n, np.int64)
     place[order] = np.arange(n)
@@ -94,37 +100,47 @@ def cover_tree(points: np.ndarray, labels: np.ndarray) -> tuple[np.ndarray, np.n
 
 
 class Tree:
-    """A block of candidates in leaf order, and the bounds of its nodes for a query."""
+    """A block of candidates in tree order, and the bounds of its nodes for a query."""
 
     def __init__(self, d: int, ids: bytes, labels: bytes, vectors: bytes, nodes: bytes, norm: float):
         self.ids, self.labels = np.frombuffer(ids, np.int64), np.frombuffer(labels, np.int64)
         self.vectors = np.frombuffer(vectors, np.float64).reshape(len(self.ids), d)
-        rows = np.frombuffer(nodes, np.float64).reshape(-1, 7)
-        self.radius, self.label = rows[:, 1], rows[:, 6]
-        self.first, self.last, self.child, self.children = (rows[:, i].astype(np.int64).tolist() for i in (2, 3, 4, 5))
-        self.centres, self.alone, self.norm = rows[:, 0].astype(np.int64), rows[:, 3] - rows[:, 2] == 1, norm
+        rows = np.frombuffer(nodes, np.float64).reshape(-1, 8)
+        self.radius, self.label, self.norm = rows[:, 1], rows[:, 7], norm
+        self.centres = self.vectors[rows[:, 0].astype(np.int64)]
+        self.last, self.child, self.children, self.alone = (rows[:, i].astype(np.int64).tolist() for i in (3, 4, 5, 6))
+        self.largest = float(np.abs(self.vectors).max()) * d
 
     def bounds(self, query: np.ndarray, length: float, a: int, b: int) -> tuple[np.ndarray, np.ndarray]:
         """Least and largest inner product that a candidate below the nodes ``a`` to ``b`` can have."""
         most = length * self.norm
         if most == 0:
             return np.zeros(b - a), np.zeros(b - a)
-        at = np.arccos(np.clip(self.vectors[self.centres[a:b]] @ query / most, -1, 1))
+        at = np.arccos(np.clip(self.centres[a:b] @ query / most, -1, 1))
         room = SLACK * most + 1
         low = most * np.cos(np.minimum(at + self.radius[a:b], np.pi)) - room
         return low, most * np.cos(np.maximum(at - self.radius[a:b], 0)) + room
 
+    def scores(self, query: np.ndarray, plain: bool, a: int, b: int) -> np.ndarray:
+        if plain:
+            return self.vectors[a:b] @ query
+        return np.maximum(exact_products(self.vectors[a:b], query), -LONG)
+
     def search(self, query: np.ndarray, own: int, windows: list[tuple[int, int]], k: int, label: int, same: bool) -> list[list[tuple[int, int]]]:
         """Per window (least, largest score) the best ``k`` (-score, id) of the candidates with this label, or with others.
 
         Nodes leave a queue largest bound first. A node is entered if for some window its bounds meet what lies between
-        the window's floor (at last its k-th score) and its upper end; a leaf's candidates are scored exactly.
+        the window's floor (at last its k-th score) and its upper end; the candidates that stand alone in it are scored exactly.
         """
         found: list[list[tuple[int, int]]] = [[] for _ in windows]
         live = [j for j, (least, largest) in enumerate(windows) if least <= largest]
+        if not live:
+            return found
         floors = [least for least, _ in windows]
-        top = max((windows[j][1] for j in live), default=0)
+        top = max(windows[j][1] for j in live)
         length = float(np.sqrt(query @ query))
+        # whole numbers that a double holds
+        plain = self.largest * float(np.abs(query).max()) < 2**53
 
         def wanted(low, high):
             hit = False
@@ -132,11 +148,16 @@ class Tree:
                 hit |= (high >= floors[j]) & (low <= windows[j][1])
             return hit
 
-        def verify(at: np.ndarray) -> None:
-            at = at[((self.labels[at] == label) == same) & (self.ids[at] != own)]
-            ids, scores = self.ids[at], np.maximum(exact_products(self.vectors[at], query), -LONG)
+        def verify(a: int, b: int) -> None:
+            every = self.scores(query, plain, a, b)
+            near = (every >= min(floors[j] for j in live)) & (every <= top) & ((self.labels[a:b] == label) == same)
+            at = near.nonzero()[0]
+            at = at[self.ids[a:b][at] != own]
+            if not len(at):
+                return
+            ids, scores = self.ids[a:b][at], every[at].astype(np.int64)
             for j in live:
-                here = np.flatnonzero((scores >= floors[j]) & (scores <= windows[j][1]))
+                here = ((scores >= floors[j]) & (scores <= windows[j][1])).nonzero()[0]
                 if len(here) > k:
                     here = here[np.lexsort((ids[here], -scores[here]))[:k]]
                 if len(here):
@@ -145,28 +166,25 @@ class Tree:
                         floors[j] = max(floors[j], -found[j][-1][0])
 
         low, high = self.bounds(query, length, 0, 1)
-        queue = [(-top, 0, low[0], high[0])] if live else []
+        queue = [(-top, 0, low[0], high[0])]
         while queue:
             _, at, least, most = heapq.heappop(queue)
             if not wanted(least, most):
                 continue
+            if self.alone[at] < self.last[at]:
+                verify(self.alone[at], self.last[at])
             a, n = self.child[at], self.children[at]
-            if not n:
-                verify(np.arange(self.first[at], self.last[at]))
-                continue
-            low, high = self.bounds(query, length, a, a + n)
-            one = self.label[a : a + n]
-            fits = ((one == label) | np.isinf(one) if same else one != label) & wanted(low, high)
-            # leaves of one candidate are verified together
-            alone = self.alone[a : a + n]
-            verify(self.centres[a : a + n][fits & alone])
-            for i in np.flatnonzero(fits & ~alone & wanted(low, high)).tolist():
-                heapq.heappush(queue, (-min(high[i], top), a + i, low[i], high[i]))
+            if n:
+                low, high = self.bounds(query, length, a, a + n)
+                one = self.label[a : a + n]
+                fits = ((one == label) | np.isinf(one) if same else one != label) & wanted(low, high)
+                for i in np.flatnonzero(fits).tolist():
+                    heapq.heappush(queue, (-min(high[i], top), a + i, low[i], high[i]))
         return found
 
 
 def _trees(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """One row per block of candidates of one length: ids, labels and vectors in leaf order, and the nodes; and (d, blocks)."""
+    """One row per block of candidates of one length: ids, labels and vectors in tree order, and the nodes; and (d, blocks)."""
     blocks = rows.groupBy("d").count().select("d", F.greatest(F.lit(LEAST), F.ceil(F.col("count") / VECTORS)).cast("int").alias("blocks"))
     # a row per length of vector
     blocks = stored(blocks, "blocks")

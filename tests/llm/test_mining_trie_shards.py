@@ -62,12 +62,11 @@ def test_cover_tree():
     points, norm = augmented(np.vstack((rng.standard_normal((300, 4)), np.ones((200, 4)), np.zeros((3, 4)))))
     order, nodes = cover_tree(points, np.arange(503) % 2)
     assert sorted(order.tolist()) == list(range(503)) and np.allclose(np.linalg.norm(points, axis=1), 1) and norm > 0
-    for centre, radius, first, last, child, children, _ in nodes:
+    for centre, radius, first, last, child, children, alone, _ in nodes:
         below = points[order[int(first) : int(last)]]
         assert (np.arccos(np.clip(below @ points[order[int(centre)]], -1, 1)) <= radius).all()
-        if children:
-            mine = nodes[int(child) : int(child + children)]
-            assert mine[0, 2] == first and mine[-1, 3] == last and (mine[1:, 2] == mine[:-1, 3]).all()
+        mine = nodes[int(child) : int(child + children)]
+        assert np.concatenate((mine[:, 2], [alone])).tolist() == np.concatenate(([first], mine[:, 3])).tolist()
 
 
 def plain_trie(rows):
