@@ -19,12 +19,11 @@ from storyloom.llm.ragged import PairTable, agenda, merge_leftmost
 SPACE_MARK = "▁"
 # No piece has a blank after another character, so these chunks never merge with each other.
 CHUNK = re.compile(r" *[^ ]+| +")
-# Chunks, and segmentations of chunks, that a worker remembers; beyond that it starts anew.
-REMEMBERED = 300_000
-# Candidates of a chunk whose skips are told apart by bits; a chunk with more is segmented anew each time.
-SPANS = 40
-# Longer chunks go through the queue one by one.
-LONG = 48
+# Longer chunks go through the queue one by one. Places in a shorter one fit into BITS.
+LONG, BITS = 48, 6
+# Characters that are encoded together; nothing is kept from one piece to the next.
+PIECE = 1_000_000
+NO_HIT = 1 << BITS
 _M1, _M2, _GOLD = np.uint64(0xFF51AFD7ED558CCD), np.uint64(0xC4CEB9FE1A85EC53), np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -36,6 +35,35 @@ def keyed(key: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(33))
 
 
+def packed(row, start, end):
+    """Chunk and span, or a chunk and a packed span, as one number."""
+    return (row << 2 * BITS) | (start << BITS) | end
+
+
+class Ragged:
+    """Rows of different lengths in one array."""
+
+    def __init__(self, flat: np.ndarray, size: np.ndarray):
+        self.flat, self.size = flat, size
+        self.first = np.cumsum(size) - size
+
+    @staticmethod
+    def empty(rows: int) -> Ragged:
+        return Ragged(np.zeros(0, np.int64), np.zeros(rows, np.int64))
+
+    def of(self, rows: np.ndarray) -> Ragged:
+        size = self.size[rows]
+        start = np.cumsum(size) - size
+        return Ragged(self.flat[np.arange(size.sum()) + np.repeat(self.first[rows] - start, size)], size)
+
+    def and_(self, other: Ragged) -> Ragged:
+        return Ragged(np.concatenate((self.flat, other.flat)), np.concatenate((self.size, other.size)))
+
+    def with_last(self, last: np.ndarray) -> Ragged:
+        """Each row with one more entry."""
+        return Ragged(np.insert(self.flat, self.first + self.size, last), self.size + 1)
+
+
 class Pieces:
     """The vocabulary of a model file, as pair table and byte strings."""
 
@@ -72,130 +100,117 @@ class Pieces:
         self.letters = (-1 - np.arange(0x110000)).astype(np.int32)
         for c, i in self.letter.items():
             self.letters[ord(c)] = i
-        # what a merge can make: the spans of a chunk that may be skipped
-        self.merged = {t.replace(SPACE_MARK, " ") for t in (texts[i] for i in set(made))}
-        self.longest = max(map(len, self.merged), default=0)
-        self.spans: dict[str, tuple[tuple[int, ...], tuple[int, ...]]] = {}
-        self.known: dict[tuple[str, int], tuple[int, ...]] = {}
 
     def symbols(self, chunk: str) -> list[int]:
         return [self.letter.get(c, -1 - ord(c)) for c in chunk]
 
-    def spelled(self, symbols: list[int]) -> tuple[int, ...]:
+    def spelled(self, symbols: Ragged) -> Ragged:
         """Ids of the final symbols; characters without a piece become their bytes."""
-        if min(symbols) >= 0:
-            return tuple(symbols)
-        out: list[int] = []
-        for s in symbols:
-            out.extend((s,) if s >= 0 else (self.bytes_[b] for b in chr(-1 - s).encode("utf-8")))
-        return tuple(out)
-
-    def candidates(self, chunk: str) -> tuple[tuple[int, ...], tuple[int, ...]]:
-        """Starts and ends of the spans that a merge can make."""
-        n, most, merged = len(chunk), self.longest, self.merged
-        found = [(a, b) for a in range(n - 1) for b in range(a + 2, min(n, a + most) + 1) if chunk[a:b] in merged]
-        return tuple(a for a, _ in found), tuple(b for _, b in found)
-
-    def segment(self, chunks: list[str], keys: np.ndarray, bar: np.uint64) -> list[tuple[int, ...]]:
-        """Ids of each chunk. A candidate is left out if the hash of the chunk's key and the span is below ``bar``."""
-        out: list[tuple[int, ...]] = [()] * len(chunks)
-        for i, c in enumerate(chunks):
-            if len(c) > LONG:
-                k = keys[i : i + 1]
-                skip = (lambda a, b: bool(keyed(k, np.array([a]), np.array([b]))[0] < bar)) if bar else None  # noqa: B023
-                out[i] = self.spelled(agenda(self.symbols(c), self.table, skip))
-        at = [i for i, c in enumerate(chunks) if len(c) <= LONG]
-        if not at:
-            return out
-        mine = keys[at]
-        lengths = np.array([len(chunks[i]) for i in at])
-        flat = self.letters[np.frombuffer("".join([chunks[i] for i in at]).encode("utf-32-le"), np.uint32)]
-        skip = lambda row, a, b: keyed(mine[row], a, b) < bar
-        merged, sizes = merge_leftmost(flat, lengths, self.table, skip)
-        ends = np.cumsum(sizes)
-        odd = (np.minimum.reduceat(merged, ends - sizes) < 0).tolist()
-        merged, a = merged.tolist(), 0
-        for i, b, spell in zip(at, ends.tolist(), odd):
-            out[i] = self.spelled(merged[a:b]) if spell else tuple(merged[a:b])
-            a = b
-        return out
-
-    def skipped(self, chunks: list[str], which: np.ndarray, keys: np.ndarray, bar: np.uint64) -> np.ndarray:
-        """Per occurrence (``which`` chunk, and its key) the bits of the candidates that are left out; -1 if not told apart."""
-        spans = self.spans
-        new = [c for c in chunks if c not in spans]
-        if len(spans) + len(new) > REMEMBERED:
-            spans.clear()
-            new = chunks
-        for c in new:
-            spans[c] = self.candidates(c) if len(c) <= LONG else ((), ())
-        mine = [spans[c] for c in chunks]
-        n = np.array([len(x[0]) for x in mine], np.int64)
-        told = (n <= SPANS) & np.array([len(c) <= LONG for c in chunks])
-        mine = [x if ok else ((), ()) for x, ok in zip(mine, told)]
-        n[~told] = 0
-        starts = np.fromiter(chain.from_iterable(x[0] for x in mine), np.int64)
-        ends = np.fromiter(chain.from_iterable(x[1] for x in mine), np.int64)
-        first = np.cumsum(n) - n
-        bits = np.where(told, 0, -1)[which]
-        some = np.flatnonzero(n[which])
-        size = n[which[some]]
-        begin = np.cumsum(size) - size
-        bit = np.arange(size.sum()) - np.repeat(begin, size)
-        at = bit + np.repeat(first[which[some]], size)
-        hit = keyed(np.repeat(keys[some], size), starts[at], ends[at]) < bar
-        if len(some):
-            bits[some] = np.bitwise_or.reduceat(np.where(hit, np.int64(1) << bit, 0), begin)
-        return bits
-
-    def encode(self, texts: list[str | None], dropout: float, seed: int, ids: list | int = 0) -> list[list[int]]:
-        """Ids of each text. Each occurrence of a chunk is cut by a key of its own: of seed, document (id and text) and place.
-
-        Which candidates of an occurrence are skipped decides its segmentation, so that is remembered by chunk
-        and skipped candidates: the result is the same as without memory.
+        odd = np.flatnonzero(symbols.flat < 0)
+        if not len(odd):
+            return symbols
+        point = -1 - symbols.flat[odd]
+        wide = 1 + (point >= 0x80) + (point >= 0x800) + (point >= 0x10000)
+        size = np.ones(len(symbols.flat), np.int64)
+        size[odd] = wide
+        out, begin = np.repeat(symbols.flat, size), (np.cumsum(size) - size)[odd]
+        at = np.arange(wide.sum()) + np.repeat(begin - (np.cumsum(wide) - wide), wide)
+        raw = np.frombuffer("".join(map(chr, point.tolist())).encode("utf-8"), np.uint8)
+        out[at] = np.array(self.bytes_, np.int32)[raw]
+        grown = np.bincount(np.searchsorted(symbols.first + symbols.size, odd, side="right"), weights=wide - 1, minlength=len(symbols.size))
+        return Ragged(out, symbols.size + grown.astype(np.int64))
+
+    def run(self, symbols: np.ndarray, lengths: np.ndarray, left_out: np.ndarray) -> tuple[np.ndarray, ...]:
+        """The agenda of many chunks, without the candidates in ``left_out`` (sorted ``packed`` numbers).
+
+        Symbols that are left, and how many of each chunk; spans of the merges in the order they happen, and how many.
+        """
+
+        def skip(row: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+            if not len(left_out):
+                return np.zeros(len(row), bool)
+            code = packed(row, a, b)
+            return left_out[np.minimum(np.searchsorted(left_out, code), len(left_out) - 1)] == code
+
+        trace: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+        merged, sizes = merge_leftmost(symbols, lengths, self.table, skip, trace)
+        if not trace:
+            return merged, sizes, np.zeros(0, np.int64), np.zeros(len(lengths), np.int64)
+        row, a, b = (np.concatenate(x) for x in zip(*trace))
+        # one merge a round and chunk, so the rounds are the order
+        order = np.argsort(row, kind="stable")
+        return merged, sizes, packed(0, a, b)[order], np.bincount(row, minlength=len(lengths))
+
+    def cut(self, chunks: list[str], which: np.ndarray, keys: np.ndarray, bar: np.uint64) -> tuple[np.ndarray, Ragged]:
+        """Number of the segmentation of each occurrence (``which`` chunk, and its key), and the segmentations.
+
+        A tree per chunk: its agenda without skips meets candidates in an order, and as long as none of them is skipped it
+        goes on as it would. So an occurrence is hashed against those only; the first that its key skips leads to the node
+        of the agenda without this candidate, and so on. A node is worked out once for all its occurrences.
         """
+        flat = self.letters[np.frombuffer("".join(chunks).encode("utf-32-le"), np.uint32)]
+        letters = Ragged(flat, np.array([len(c) for c in chunks], np.int64))
+        merged, sizes, spans, done = self.run(flat, letters.size, np.zeros(0, np.int64))
+        # of each node: its chunk, the skipped spans, the merges before the last skip, all merges, and what is left
+        chunk, skips, before = np.arange(len(chunks)), Ragged.empty(len(chunks)), np.zeros(len(chunks), np.int64)
+        merges, out = Ragged(spans, done), Ragged(merged, sizes)
+        at, active = which.copy(), np.arange(len(which)) if bar else np.zeros(0, np.int64)
+        while len(active):
+            n = merges.size[at[active]] - before[at[active]]
+            active, n = active[n > 0], n[n > 0]
+            if not len(active):
+                break
+            node = at[active]
+            begin = np.cumsum(n) - n
+            place = np.arange(n.sum()) - np.repeat(begin, n)
+            span = merges.flat[place + np.repeat(merges.first[node] + before[node], n)]
+            hit = keyed(np.repeat(keys[active], n), span >> BITS, span & (NO_HIT - 1)) < bar
+            met = np.minimum.reduceat(np.where(hit, place, NO_HIT), begin)
+            active, met = active[met < NO_HIT], met[met < NO_HIT]
+            codes, child = np.unique((at[active] << BITS) | met, return_inverse=True)
+            if not len(codes):
+                break
+            parent, j = codes >> BITS, codes & (NO_HIT - 1)
+            last = merges.flat[merges.first[parent] + before[parent] + j]
+            fresh = skips.of(parent).with_last(last)
+            at[active] = len(chunk) + child
+            chunk, before = np.concatenate((chunk, chunk[parent])), np.concatenate((before, before[parent] + j))
+            mine = letters.of(chunk[len(chunk) - len(parent) :])
+            left_out = np.sort(packed(np.repeat(np.arange(len(parent)), fresh.size), 0, fresh.flat))
+            merged, sizes, spans, done = self.run(mine.flat, mine.size, left_out)
+            skips, merges, out = skips.and_(fresh), merges.and_(Ragged(spans, done)), out.and_(Ragged(merged, sizes))
+        return at, out
+
+    def encode(self, texts: list[str | None], dropout: float, seed: int, ids: list | int = 0) -> list[np.ndarray]:
+        """Ids of each text. Each occurrence of a chunk is cut by a key of its own: of seed, document (id and text) and place."""
         bar = np.uint64(min(int(dropout * 2.0**64), 2**64 - 1))
         split = [CHUNK.findall(" " + t) if t else [] for t in texts]
         every = list(chain.from_iterable(split))
         if not every:
-            return [[] for _ in texts]
+            return [np.zeros(0, np.int32) for _ in texts]
         sizes = np.array([len(x) for x in split], np.int64)
         ids = ids if isinstance(ids, list) else [ids] * len(texts)
         of_text = np.array([hashed(t, hashed(repr(i), seed)) if t else 0 for i, t in zip(ids, texts)], np.uint64)
         place = np.arange(len(every)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
         keys = keyed(np.repeat(of_text, sizes), place, np.full(len(every), -1))
-        chunks = list(dict.fromkeys(every))
-        number = {c: i for i, c in enumerate(chunks)}
-        which = np.fromiter(map(number.__getitem__, every), np.int64, len(every))
-        if bar:
-            bits = self.skipped(chunks, which, keys, bar)
-        else:
-            bits = np.zeros(len(every), np.int64)
-        # occurrences that are told apart share a code if chunk and skips agree
-        alone = np.flatnonzero(bits < 0)
-        code = (which << SPANS) | bits
-        code[alone] = -1 - alone
-        _, sample, place = np.unique(code, return_index=True, return_inverse=True)
-        known, found = self.known, [()] * len(sample)
-        names = [(every[i], b) for i, b in zip(sample.tolist(), bits[sample].tolist())]
-        new = [j for j, name in enumerate(names) if name[1] < 0 or name not in known]
-        if len(known) + len(new) > REMEMBERED:
-            known.clear()
-            new = list(range(len(names)))
-        cut = self.segment([names[j][0] for j in new], keys[sample[new]], bar) if new else []
-        for j, x in zip(new, cut):
-            found[j] = x
-            if names[j][1] >= 0:
-                known[names[j]] = x
-        found = [x or known[name] for x, name in zip(found, names)]
-        out, a, place = [], 0, place.tolist()
-        for n in sizes.tolist():
-            out.append(list(chain.from_iterable(map(found.__getitem__, place[a : a + n]))))
-            a += n
-        return out
+        which, chunks = pd.factorize(np.array(every, object))
+        long = np.array([len(c) > LONG for c in chunks])
+        # long chunks take the queue, and a blank their place in the tables
+        at, found = self.cut([" " if x else c for c, x in zip(chunks.tolist(), long.tolist())], which, keys, bar)
+        more = []
+        for i in np.flatnonzero(long[which]).tolist():
+            k = keys[i : i + 1]
+            skip = (lambda a, b: bool(keyed(k, np.array([a]), np.array([b]))[0] < bar)) if bar else None  # noqa: B023
+            at[i] = len(found.size) + len(more)
+            more.append(np.array(agenda(self.symbols(every[i]), self.table, skip), np.int32))
+        if more:
+            found = found.and_(Ragged(np.concatenate(more), np.array([len(x) for x in more], np.int64)))
+        symbols = self.spelled(found).of(at)
+        ends = np.cumsum(np.bincount(np.repeat(np.arange(len(texts)), sizes), weights=symbols.size, minlength=len(texts)).astype(np.int64))
+        return np.split(symbols.flat, ends[:-1])
 
     def decode(self, ids) -> str:
-        raw = b"".join(map(self.out.__getitem__, ids))
+        raw = b"".join(map(self.out.__getitem__, ids.tolist()))
         return (raw[1:] if raw[:1] == b" " else raw).decode("utf-8", errors="replace")
 
 
@@ -226,11 +241,11 @@ def encode(
 
     def work(piece: pd.DataFrame) -> pd.DataFrame:
         ids = pieces(model).encode(piece["text"].tolist(), dropout, seed, piece["place"].tolist())
-        return pd.DataFrame({"doc_id": piece["doc_id"], "ids": [np.array(x, np.int32) for x in ids]})
+        return pd.DataFrame({"doc_id": piece["doc_id"], "ids": ids})
 
     rows = _placed(documents.select(documents[id_col].alias("doc_id"), documents[text_col].alias("text")))
     kind = rows.schema["doc_id"].dataType.simpleString()
-    return map_texts(rows, work, f"doc_id {kind}, ids array<int>", limit=1_000_000)
+    return map_texts(rows, work, f"doc_id {kind}, ids array<int>", limit=PIECE)
 
 
 def decode(ids: Column, model: str) -> Column:
@@ -239,7 +254,7 @@ def decode(ids: Column, model: str) -> Column:
     @F.pandas_udf("string")
     def run(column: pd.Series) -> pd.Series:
         find = pieces(model)
-        return column.map(lambda x: None if x is None else find.decode(x.tolist()))
+        return column.map(lambda x: None if x is None else find.decode(x))
 
     return run(ids)
 
@@ -259,11 +274,11 @@ def segmentations(
             {
                 "doc_id": piece["doc_id"],
                 "n_ids": np.array([len(x) for x in ids], np.int64),
-                "ids_sha256": [hashlib.sha256(np.array(x, "<i4").tobytes()).hexdigest() for x in ids],
+                "ids_sha256": [hashlib.sha256(x.astype("<i4").tobytes()).hexdigest() for x in ids],
                 "lossless": [find.decode(x) == (t or "") for x, t in zip(ids, piece["text"])],
             }
         )
 
     rows = _placed(documents.select("doc_id", "text"))
     kind = rows.schema["doc_id"].dataType.simpleString()
-    return map_texts(rows, work, f"doc_id {kind}, n_ids long, ids_sha256 string, lossless boolean", limit=1_000_000)
+    return map_texts(rows, work, f"doc_id {kind}, n_ids long, ids_sha256 string, lossless boolean", limit=PIECE)

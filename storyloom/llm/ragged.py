@@ -115,13 +115,14 @@ def agenda(symbols: list[int], table: PairTable, skip: Callable[[int, int], bool
 
 
 def merge_leftmost(
-    symbols: np.ndarray, lengths: np.ndarray, table: PairTable, skip: Callable[[np.ndarray, np.ndarray, np.ndarray], np.ndarray]
+    symbols: np.ndarray, lengths: np.ndarray, table: PairTable, skip: Callable[[np.ndarray, np.ndarray, np.ndarray], np.ndarray],
+    trace: list | None = None,
 ) -> tuple[np.ndarray, np.ndarray]:
     """The agenda for many short sequences at once; returns symbols and lengths after it.
 
     Each round takes every sequence's best candidate (lowest rank, then leftmost)
     that ``skip(sequence, start, end)`` does not leave out. As the skip depends on
-    the candidate alone, this gives what ``agenda`` gives.
+    the candidate alone, this gives what ``agenda`` gives. ``trace`` receives each round's merges as (sequence, start, end).
     """
     first = np.concatenate(([0], np.cumsum(lengths)[:-1])).astype(np.int64)
     sequence = np.repeat(np.arange(len(lengths)), lengths)
@@ -142,6 +143,8 @@ def merge_leftmost(
         hit = np.flatnonzero((rank == lowest[row]) & ~over)
         at = hit[np.concatenate(([True], row[hit][1:] != row[hit][:-1]))]
         symbols[at], end[at] = made[at], end[at + 1]
+        if trace is not None:
+            trace.append((sequence[at], begin[at], end[at]))
         stay = ~over
         stay[at + 1] = False
         new_at = np.cumsum(stay) - 1
