@@ -24,8 +24,8 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near copies (Jaccard similarity of five-word shingles of 0.8 or more) the smallest id stays."""
-    return keep_one(docs, words=5, similarity=0.8)
+    """Of each group of documents whose SimHash fingerprints (3-word shingles) link at 3 or fewer bits the smallest id stays."""
+    return keep_one(docs, words=3, radius=3)
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -51,7 +51,12 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``; each stage's rows are written before the next one reads them."""
+    """All stages over ``documents``; each stage's rows are written before the next one reads them.
+
+    Null and empty texts pass the toxicity stage if the base rate scores below 0.5, count as copies of each other in the
+    near-dedup stage, and have no words for the mix to take, so they end there. Null ids, repeated rows and further columns
+    are as the stages' operators say; empty tables give an empty result.
+    """
     docs = read_table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
         docs = stored(stage(spark, docs, sf_dir), f"pipeline-{name}")
