@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
@@ -11,7 +11,6 @@ from xxhash import xxh64_intdigest
 
 from storyloom.llm.common import digest, folded_words, map_texts, stored
 from storyloom.llm.components import components
-from storyloom.llm.similar import set_links, signatures
 
 BITS = 64
 SEED = 42
@@ -159,10 +158,10 @@ def hamming_links(fps: DataFrame, radius: int = 3) -> DataFrame:
     return _bucket_links(keyed.join(large, ["t", "k"], "left_anti").union(spread), radius)
 
 
-def _classes(prints: DataFrame, first: Column, links: Callable[[DataFrame], DataFrame], *more: Column) -> DataFrame:
-    """(fp, best): the smallest ``first`` of the component of each fingerprint, under the ``links`` of the classes."""
-    fps = stored(prints.groupBy("fp").agg(first.alias("low"), *more), "fingerprint-classes")
-    roots = components(links(fps), "fingerprint-links")
+def _classes(prints: DataFrame, first: Column, radius: int) -> DataFrame:
+    """(fp, best): the smallest ``first`` of the component of each fingerprint."""
+    fps = stored(prints.groupBy("fp").agg(first.alias("low")), "fingerprint-classes")
+    roots = components(hamming_links(fps.select("fp"), radius), "fingerprint-links")
     roots = stored(roots.withColumnRenamed("node", "fp"), "fingerprint-roots")
     best = roots.join(fps, "fp").groupBy("root").agg(F.min("low").alias("best"))
     linked = roots.join(best, "root").select("fp", "best")
@@ -170,10 +169,6 @@ def _classes(prints: DataFrame, first: Column, links: Callable[[DataFrame], Data
     return stored(fps.join(linked, "fp", "left").select("fp", F.coalesce("best", "low").alias("best")), "fingerprint-best")
 
 
-def _within(radius: int) -> Callable[[DataFrame], DataFrame]:
-    return lambda fps: hamming_links(fps.select("fp"), radius)
-
-
 def near_duplicates(
     documents: DataFrame, words: int = 3, radius: int = 3, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
@@ -189,17 +184,16 @@ def near_duplicates(
     """
     rows = documents.select(documents[id_col].alias("doc_id"), documents[text_col].alias("text"))
     prints = stored(fingerprints(rows, words), "fingerprints")
-    classes = _classes(prints, F.min("doc_id"), _within(radius))
+    classes = _classes(prints, F.min("doc_id"), radius)
     return prints.join(classes, "fp").select(
         "doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), F.col("best").alias("component_id")
     )
 
 
-def keep_one(documents: DataFrame, words: int = 3, radius: int = 3, similarity: float | None = None) -> DataFrame:
+def keep_one(documents: DataFrame, words: int = 3, radius: int = 3) -> DataFrame:
     """The rows of ``documents``, all columns, with one row of each near-duplicate group.
 
-    Groups are the components over fingerprints within ``radius`` bits or, if ``similarity`` is given, over pairs of texts
-    whose sets of word shingles have that Jaccard similarity or more (``similar``); ``radius`` then has no part.
+    Groups are the components over fingerprints within ``radius`` bits.
 
     The row with the smallest doc_id stays (a null id counts as the largest; of rows with one id, the one with the
     smallest text digest). Null and empty texts form a group like any other. Fully repeated rows leave one.
@@ -211,12 +205,7 @@ def keep_one(documents: DataFrame, words: int = 3, radius: int = 3, similarity:
         F.struct(F.col("row.doc_id").isNull().alias("none"), F.col("row.doc_id").alias("doc_id"), key[0].alias("h1"), key[1].alias("h2")).alias("id"),
         F.col("row.text").alias("text"),
     )
-    if similarity is None:
-        classes = _classes(stored(fingerprints(rows, words), "fingerprints"), F.min("id"), _within(radius))
-    else:
-        prints = stored(signatures(rows, words), "signatures")
-        links = lambda fps: set_links(fps, rows, words, similarity)
-        classes = _classes(prints, F.min("id"), links, F.first("bands").alias("bands"))
+    classes = _classes(stored(fingerprints(rows, words), "fingerprints"), F.min("id"), radius)
     best = classes.select(F.col("best.h1").alias("h1"), F.col("best.h2").alias("h2")).distinct()
     found = whole.withColumn("h1", key[0]).withColumn("h2", key[1]).join(best, ["h1", "h2"], "left_semi")
     return found.dropDuplicates(["h1", "h2"]).select("row.*")
