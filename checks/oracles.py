@@ -541,4 +541,22 @@ GROUP BY entity, vader_label""",
     "orders_sample": "SELECT o_orderkey, o_orderpriority FROM orders QUALIFY row_number() OVER (PARTITION BY o_orderpriority ORDER BY md5(CAST(o_orderkey AS VARCHAR) || ':7'), o_orderkey) <= 20",
 }
 
+
+# Words, those of at least 40 occurrences, and the best of these for every other one.
+_CORRECTIONS = """(WITH w AS (SELECT word, count(*) AS n FROM
+        (SELECT lower(unnest(regexp_extract_all(narrative, '[A-Za-z]+'))) AS word FROM complaints) GROUP BY word)
+   SELECT u.word, k.word AS correction, levenshtein(u.word, k.word) AS distance
+   FROM w u JOIN w k ON u.n < 40 AND k.n >= 40 AND length(u.word) >= 4 AND length(k.word) >= 2 AND abs(length(u.word) - length(k.word)) <= 2
+   WHERE levenshtein(u.word, k.word) <= 2
+   QUALIFY row_number() OVER (PARTITION BY u.word ORDER BY levenshtein(u.word, k.word), k.n DESC, k.word) = 1)"""
+BODIES["spelling_corrections"] = f"SELECT word, correction, {big('distance', 'distance')} FROM {_CORRECTIONS}"
+BODIES["spelling_texts"] = f"""SELECT complaint_id, md5(coalesce(string_agg(new, '' ORDER BY i), '')) AS text_md5, {big('count(correction)', 'cantidad_errores')} FROM
+  (SELECT complaint_id, i, correction,
+          CASE WHEN correction IS NULL THEN p WHEN p = upper(p) AND length(p) > 1 THEN upper(correction)
+               WHEN p[1] = upper(p[1]) THEN upper(correction[1]) || correction[2:] ELSE correction END AS new
+   FROM (SELECT complaint_id, unnest(ps) AS p, generate_subscripts(ps, 1) AS i FROM
+           (SELECT complaint_id, CASE WHEN narrative = '' THEN [''] ELSE regexp_extract_all(narrative, '[A-Za-z]+|[^A-Za-z]+') END AS ps
+            FROM complaints WHERE narrative IS NOT NULL))
+   LEFT JOIN {_CORRECTIONS} c ON c.word = lower(p)) GROUP BY complaint_id"""
+
 ORACLES = {name: sql(body) for name, body in BODIES.items()}

@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 from storyloom.functions import entities as ent
 from storyloom.functions import features, sentiment, text
 from storyloom.functions.tokens import suffix_lemma
-from storyloom.operators import long_tokens, profile, quality, sampling, topk
+from storyloom.operators import long_tokens, profile, quality, sampling, spelling, topk
 from storyloom.operators.entity_ranking import top_entities
 from storyloom.operators.histogram import histogram
 from storyloom.operators.joins import lookup_table, word_table
@@ -190,8 +190,8 @@ def tokens_long(spark, sf_dir):
 def lemmas_long(spark, sf_dir):
     lemmas = lookup_table(spark, a.LEMMAS, "token", "lemma")
     stop = word_table(spark, a.STOP, "lemma")
-    rows = long_tokens.lemmatise_long(token_rows(spark, sf_dir), lemmas, rows=len(a.LEMMAS))
-    return long_tokens.drop_stop_words(rows, stop, rows=len(a.STOP)).select(ID, "pos", "lemma")
+    rows = long_tokens.lemmatise_long(token_rows(spark, sf_dir), lemmas)
+    return long_tokens.drop_stop_words(rows, stop).select(ID, "pos", "lemma")
 
 
 @query
@@ -567,6 +567,21 @@ def text_quality_words(spark, sf_dir):
     return _quality(spark, sf_dir, a.QUALITY)
 
 
+@query
+def spelling_corrections(spark, sf_dir):
+    """Every rarer word of the documents and its correction among the words that are frequent."""
+    return spelling.corpus_corrections(a.complaints(spark, sf_dir), "narrative", known_from=40)
+
+
+@query
+def spelling_texts(spark, sf_dir):
+    """The texts with those corrections."""
+    df = a.complaints(spark, sf_dir).select(ID, "narrative")
+    corrected = files.kept_table(spelling.corpus_corrections(df, "narrative", known_from=40), scratch_dir(spark, "corrections"))
+    out = spelling.correct_spelling(df, ID, "narrative", corrected)
+    return out.select(ID, F.md5("texto_corregido").alias("text_md5"), "cantidad_errores")
+
+
 # Sources and stages --------------------------------------------------------
 
 

@@ -15,13 +15,13 @@ def entity_mentions(df: DataFrame, label: str, blacklist=(), keep=()) -> DataFra
     if not len(blacklist):
         return rows
     table = word_table(df.sparkSession, blacklist, "entity")
-    return lookup_join(rows, table, "entity", "left_anti", rows=len(blacklist))
+    return lookup_join(rows, table, "entity", "left_anti")
 
 
 def rename_entities(mentions: DataFrame, names: dict) -> DataFrame:
     """Canonical names where listed, else as found."""
     table = lookup_table(mentions.sparkSession, names, "entity", "_name")
-    joined = lookup_join(mentions, table, "entity", "left", rows=len(names))
+    joined = lookup_join(mentions, table, "entity", "left")
     return joined.withColumn("entity", F.coalesce("_name", "entity")).drop("_name")
 
 

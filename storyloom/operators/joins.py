@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-# Rows up to which a lookup table is broadcast.
-BROADCAST_ROWS = 200_000
+# Bytes up to which a lookup table is broadcast.
+BROADCAST_BYTES = 32 << 20
 # Copies of a larger lookup table, so that a hot key spreads over this many tasks.
 SALTS = 16
 
@@ -19,21 +19,29 @@ def word_table(spark: SparkSession, words, key: str) -> DataFrame:
     return spark.createDataFrame([(w,) for w in words], f"{key} string")
 
 
-def lookup_join(df: DataFrame, lookup: DataFrame, on: str, how: str = "left", rows: int | None = None, seed: int = 11) -> DataFrame:
+def table_bytes(table: DataFrame) -> int:
+    """Bytes of a table's values, about: strings and lists by their text, other values by 8. Reads the table once."""
+    wide = [f.name for f in table.schema.fields if not isinstance(f.dataType, T.NumericType)]
+    size = F.lit(16 + 8 * len(table.columns)).cast("long")
+    for name in wide:
+        size = size + F.coalesce(F.octet_length(F.to_json(F.struct(f"`{name}`"))), F.lit(0))
+    return table.agg(F.sum(size)).first()[0] or 0
+
+
+def lookup_join(df: DataFrame, lookup: DataFrame, on: str, how: str = "left", most_bytes: int = BROADCAST_BYTES) -> DataFrame:
     """Join a large table with a lookup table on one column.
 
-    ``rows`` is the size where the caller knows it; otherwise the lookup table is
-    counted up to the limit. Up to ``BROADCAST_ROWS`` it is broadcast. Beyond that
-    both sides are shuffled on the key and a salt, the lookup table once per salt,
-    so that a key holding a third of the rows is spread over ``SALTS`` tasks.
+    The lookup table is measured: up to ``most_bytes`` it is broadcast. Beyond that both sides are shuffled on the
+    key and a salt, the lookup table once per salt, so that a key holding a third of the rows is spread over ``SALTS``
+    tasks. The salt is a hash of the row's other columns: a task that runs again deals its rows as before.
     """
     if how not in ("left", "inner", "left_semi", "left_anti"):
         raise ValueError(f"unsupported join: {how}")
-    if rows is None:
-        rows = lookup.limit(BROADCAST_ROWS + 1).count()
-    if rows <= BROADCAST_ROWS:
+    if table_bytes(lookup) <= most_bytes:
         return df.join(F.broadcast(lookup), on, how)
-    # A seeded random salt: equal rows, and tables of the key alone, are spread too; any salt finds its copy.
-    salted = df.withColumn("_salt", F.floor(F.rand(seed) * SALTS).cast("int"))
+    # Maps have no hash, but their text does.
+    as_hashed = lambda f: F.to_json(f"`{f.name}`") if "map<" in f.dataType.simpleString() else F.col(f"`{f.name}`")
+    others = [as_hashed(f) for f in df.schema.fields if f.name != on]
+    salted = df.withColumn("_salt", F.pmod(F.xxhash64(F.lit(1), *others), F.lit(SALTS)).cast("int"))
     copies = lookup.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
     return salted.join(copies, [on, "_salt"], how).drop("_salt")

@@ -13,16 +13,16 @@ def tokens_long(df: DataFrame, key: str, clean: str) -> DataFrame:
     return df.select(key, F.posexplode(split_letters(F.col(clean))).alias("pos", "token"))
 
 
-def lemmatise_long(tokens: DataFrame, lemmas: DataFrame, rows: int | None = None) -> DataFrame:
+def lemmatise_long(tokens: DataFrame, lemmas: DataFrame) -> DataFrame:
     """Join token rows with a (token, lemma) table of any size; unlisted tokens stay."""
-    joined = lookup_join(tokens, lemmas, "token", "left", rows)
+    joined = lookup_join(tokens, lemmas, "token", "left")
     return joined.withColumn("lemma", F.coalesce("lemma", "token"))
 
 
-def drop_stop_words(lemmas: DataFrame, stop: DataFrame, min_length: int = 2, rows: int | None = None) -> DataFrame:
+def drop_stop_words(lemmas: DataFrame, stop: DataFrame, min_length: int = 2) -> DataFrame:
     """Remove lemmas listed in a (lemma) table of any size, and single letters."""
     kept = lemmas.where(F.length("lemma") >= min_length)
-    return lookup_join(kept, stop, "lemma", "left_anti", rows)
+    return lookup_join(kept, stop, "lemma", "left_anti")
 
 
 def regroup(lemmas: DataFrame, key: str) -> DataFrame:

@@ -53,6 +53,12 @@ def save_stage(df: DataFrame, path: str, partition_by: tuple = ()) -> dict:
     return report
 
 
+def kept_table(df: DataFrame, path: str) -> DataFrame:
+    """A table written to a shared folder and read back: later jobs read files, and lost executors cost nothing of it."""
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def load_stage(spark: SparkSession, path: str) -> DataFrame | None:
     """A finished stage, or None. Spark leaves ``_SUCCESS`` only behind a whole write."""
     if not path_exists(spark, f"{path.rstrip('/')}/_SUCCESS"):

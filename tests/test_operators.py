@@ -95,15 +95,14 @@ def test_first_rows(spark):
 
 
 @pytest.mark.parametrize("how", ["left", "inner", "left_semi", "left_anti"])
-def test_lookup_join_same_rows_beyond_the_broadcast_limit(spark, monkeypatch, how):
+def test_lookup_join_same_rows_beyond_the_broadcast_limit(spark, how):
     df = spark.range(2000).withColumn("k", F.when(F.col("id") % 3 == 0, "hot").otherwise((F.col("id") % 11).cast("string")))
     table = spark.createDataFrame([("hot", 1), ("4", 2), ("5", 3), ("absent", 4)], "k string, v int")
     small = joins.lookup_join(df, table, "k", how)
     assert "BroadcastHashJoin" in plan_text(small)
-    monkeypatch.setattr(joins, "BROADCAST_ROWS", 2)
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        large = joins.lookup_join(df, table, "k", how)
+        large = joins.lookup_join(df, table, "k", how, most_bytes=2)
         assert "Broadcast" not in plan_text(large)
         key = lambda r: (r.id, str(r))
         assert sorted((r.asDict() for r in large.collect()), key=str) == sorted((r.asDict() for r in small.select(large.columns).collect()), key=str)

@@ -79,11 +79,15 @@ def test_sample_needs_a_key(spark):
         run_stages(spark, None, "unused", sample=5)
 
 
-def test_salt_splits_equal_rows(spark, monkeypatch):
+def test_salt_is_repeatable_and_splits_a_hot_key(spark):
     from storyloom.operators import joins
 
-    monkeypatch.setattr(joins, "BROADCAST_ROWS", 0)
-    df = spark.range(20_000).select(F.lit("k").alias("k"))
-    table = spark.createDataFrame([("k", 1)], "k string, v int")
-    joined = joins.lookup_join(df, table, "k")
-    assert joined.count() == 20_000 and joined.columns == ["k", "v"]
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        df = spark.range(20_000).select(F.lit("k").alias("k"), "id")
+        table = spark.createDataFrame([("k", 1)], "k string, v int")
+        joined = joins.lookup_join(df, table, "k", most_bytes=0)
+        assert joined.count() == 20_000 and joined.columns == ["k", "id", "v"]
+        assert "rand(" not in joined._jdf.queryExecution().toString() and "_salt" in joined._jdf.queryExecution().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
