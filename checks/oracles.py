@@ -559,4 +559,26 @@ BODIES["spelling_texts"] = f"""SELECT complaint_id, md5(coalesce(string_agg(new,
             FROM complaints WHERE narrative IS NOT NULL))
    LEFT JOIN {_CORRECTIONS} c ON c.word = lower(p)) GROUP BY complaint_id"""
 
+# Texts without a record of too many fields; null texts are empty quoted ones or, where the concatenation is left out, no field.
+BODIES["csv_split_import"] = """SELECT CAST(doc_id AS VARCHAR) AS doc_id, CAST(NULL AS VARCHAR) AS lang, text, source FROM documents
+UNION ALL SELECT 'short-' || CAST(doc_id AS VARCHAR), NULL, text, NULL FROM documents WHERE doc_id % 5 = 1"""
+BODIES["span_entities"] = r"""
+SELECT DISTINCT complaint_id, k.label AS label, k.text AS entity FROM
+ (SELECT complaint_id, unnest(kept) AS k FROM
+   (SELECT complaint_id, list_reduce(list({'kept': []::STRUCT(s BIGINT, e BIGINT, label VARCHAR, text VARCHAR)[], 's': s, 'e': e, 'label': label, 'text': text}
+                                          ORDER BY s - e, s, label, text),
+       lambda a, x: CASE WHEN len(list_filter(a.kept, lambda y: y.s < x.e AND x.s < y.e)) > 0 THEN a
+                         ELSE {'kept': list_append(a.kept, {'s': x.s, 'e': x.e, 'label': x.label, 'text': x.text}), 's': x.s, 'e': x.e, 'label': x.label, 'text': x.text} END,
+       {'kept': []::STRUCT(s BIGINT, e BIGINT, label VARCHAR, text VARCHAR)[], 's': 0::BIGINT, 'e': 0::BIGINT, 'label': '', 'text': ''}).kept AS kept
+    FROM (WITH bw AS (SELECT regexp_extract_all(text, '[\p{L}\p{N}_]+') AS w FROM benchmark),
+          ph AS (SELECT 'PAIR' AS label, w[i] || ' ' || w[i + 1] AS phrase FROM (SELECT w, unnest(range(1, len(w))) AS i FROM bw)
+                 UNION SELECT 'TRIPLE', w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] FROM (SELECT w, unnest(range(1, len(w) - 1)) AS i FROM bw)),
+          pc AS (SELECT complaint_id, unnest(ps) AS p, generate_subscripts(ps, 1) AS i FROM
+                 (SELECT complaint_id, regexp_extract_all(coalesce(narrative, ''), '[\p{L}\p{N}_]+|[^\p{L}\p{N}_]+') AS ps FROM complaints)),
+          t AS (SELECT *, coalesce(sum(length(p)) OVER (PARTITION BY complaint_id ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS s,
+                       p || lead(p, 1) OVER o || lead(p, 2) OVER o AS two, p || lead(p, 1) OVER o || lead(p, 2) OVER o || lead(p, 3) OVER o || lead(p, 4) OVER o AS three
+                FROM pc WINDOW o AS (PARTITION BY complaint_id ORDER BY i))
+          SELECT complaint_id, s, s + length(phrase) AS e, label, phrase AS text FROM t JOIN ph ON (label = 'PAIR' AND phrase = two)
+          UNION ALL SELECT complaint_id, s, s + length(phrase), label, phrase FROM t JOIN ph ON (label = 'TRIPLE' AND phrase = three))
+    GROUP BY complaint_id))"""
 ORACLES = {name: sql(body) for name, body in BODIES.items()}

@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 from storyloom.functions import entities as ent
 from storyloom.functions import features, sentiment, text
 from storyloom.functions.tokens import suffix_lemma
+from storyloom.operators import phrases as phrases_
 from storyloom.operators import long_tokens, profile, quality, sampling, spelling, topk
 from storyloom.operators.entity_ranking import top_entities
 from storyloom.operators.histogram import histogram
@@ -19,6 +20,7 @@ from storyloom.plans import marts
 from storyloom.plans.filters import Filters, filter_options
 from storyloom.session import scratch_dir
 from storyloom.sources import files
+from storyloom.sources.split_csv import read_split_csv
 from storyloom.streaming.incremental import enrich_new_files
 
 from checks import adapter as a
@@ -239,6 +241,20 @@ def entity_normalise(spark, sf_dir):
     return df.select(ID, ent.entity_count(clean).alias("n_kept"))
 
 
+@query
+def span_entities(spark, sf_dir):
+    """Texts against a phrase table that grows with the data: all pairs and triples of neighbouring words of the benchmark.
+
+    Nearly every match crosses others, so it is the choice of spans that decides.
+    """
+    words = F.regexp_extract_all("text", F.lit(r"[\p{L}\p{N}_]+"), F.lit(0))
+    runs = lambda n: F.transform(F.col("w"), lambda w, i: F.struct(F.lit("PAIR" if n == 2 else "TRIPLE").alias("label"), F.slice("w", i + 1, F.lit(n)).alias("p")))
+    both = spark.read.parquet(f"{sf_dir}/benchmark.parquet").select(words.alias("w")).select(F.inline(F.concat(runs(2), runs(3))))
+    table = both.filter(F.size("p") == F.when(F.col("label") == "PAIR", 2).otherwise(3)).select("label", F.array_join("p", " ").alias("phrase")).distinct()
+    found = phrases_.add_span_entities(a.complaints(spark, sf_dir).select(ID, "narrative"), ID, "narrative", table)
+    return found.select(ID, F.explode("entities").alias("label", "found")).select(ID, "label", F.explode("found").alias("entity"))
+
+
 @query
 def top_org(spark, sf_dir):
     return marts.top_orgs(enriched(spark, sf_dir), blacklist=a.ORG_NOISE)
@@ -599,6 +615,35 @@ def csv_import(spark, sf_dir):
     return files.read_csv_skip_bad(spark, folder, schema, header=False)
 
 
+def _csv_lines(spark, sf_dir) -> DataFrame:
+    """Documents as CSV records: whole ones, some with too many or too few fields, all columns quoted."""
+    quoted = lambda c: F.concat(F.lit('"'), F.replace(F.col(c), F.lit('"'), F.lit('""')), F.lit('"'))
+    number = F.col("doc_id").cast("string")
+    good = F.concat_ws(",", quoted("text"), number, quoted("source"))
+    long = F.concat_ws(",", good, quoted("lang"), quoted("source"))
+    short = F.concat_ws(",", quoted("text"), F.concat(F.lit("short-"), number))
+    kinds = F.when(F.col("doc_id") % 5 == 0, F.array(good, long)).when(F.col("doc_id") % 5 == 1, F.array(good, short)).otherwise(F.array(good))
+    return a.documents(spark, sf_dir).select("doc_id", F.posexplode(kinds).alias("i", "line"))
+
+
+@query
+def csv_split_import(spark, sf_dir):
+    """A single file of quoted texts with line breaks, read in many splits, its columns found by name."""
+    folder = scratch_dir(spark, "csv-one")
+    lines = _csv_lines(spark, sf_dir).select(F.lit(1).alias("o"), "doc_id", "i", "line")
+    head = spark.range(1).select(F.lit(0).alias("o"), F.col("id").alias("doc_id"), F.lit(0).alias("i"), F.lit('text,"doc_id",source,extra').alias("line"))
+    # one file is what is tested
+    head.unionByName(lines).repartition(1).sortWithinPartitions("o", "doc_id", "i").select("line").write.text(folder)
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in ("doc_id", "lang", "text", "source")])
+    size = "spark.sql.files.maxPartitionBytes"
+    before = spark.conf.get(size)
+    spark.conf.set(size, "256k")
+    try:
+        return files.kept_table(read_split_csv(spark, folder, schema), scratch_dir(spark, "csv-read"))
+    finally:
+        spark.conf.set(size, before)
+
+
 @query
 def csv_export(spark, sf_dir):
     """Arrays leave as JSON text and come back as the same arrays."""

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import logging
 
-from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 from pyspark.sql import types as T
 
 log = logging.getLogger("storyloom")
@@ -12,14 +12,24 @@ log = logging.getLogger("storyloom")
 BAD = "_bad"
 
 
+def damaged_row(bad: Column, fields: int) -> Column:
+    """Whether a row that did not parse as a whole has an open quote or too many fields, and not just too few."""
+    # Pieces between quotes: even ones lie outside quoted fields. (A regular expression
+    # over a long quoted field would overflow the matcher's stack.)
+    pieces = F.split(bad, '"')
+    outside = F.filter(pieces, lambda p, i: i % 2 == 0)
+    commas = F.aggregate(outside, F.lit(0), lambda n, p: n + F.regexp_count(p, F.lit(",")))
+    open_quote = F.size(pieces) % 2 == 0
+    return bad.isNotNull() & (open_quote | (commas > fields - 1))
+
+
 def read_csv_skip_bad(
     spark: SparkSession, path: str, schema: T.StructType, multi_line: bool = True, header: bool = True
 ) -> DataFrame:
     """CSV without its damaged rows: too many fields, or a quote left open at the end.
 
-    Rows with too few fields are kept and padded with nulls. With ``multi_line`` a file
-    is one task, so a large import should arrive as many files; set it to False when no
-    field holds a line break, and Spark splits the files.
+    Rows with too few fields are kept and padded with nulls; columns are bound by position. With ``multi_line`` a
+    file is one task: ``split_csv.read_split_csv`` reads a large one in many. Set it to False when no field holds a line break.
     """
     with_bad = T.StructType(schema.fields + [T.StructField(BAD, T.StringType())])
     raw = spark.read.csv(
@@ -27,14 +37,7 @@ def read_csv_skip_bad(
         mode="PERMISSIVE", columnNameOfCorruptRecord=BAD, enforceSchema=True,
         ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False,
     )
-    # Pieces between quotes: even ones lie outside quoted fields. (A regular expression
-    # over a long quoted field would overflow the matcher's stack.)
-    pieces = F.split(F.col(BAD), '"')
-    outside = F.filter(pieces, lambda p, i: i % 2 == 0)
-    commas = F.aggregate(outside, F.lit(0), lambda n, p: n + F.regexp_count(p, F.lit(",")))
-    open_quote = F.size(pieces) % 2 == 0
-    damaged = F.col(BAD).isNotNull() & (open_quote | (commas > len(schema.fields) - 1))
-    return raw.where(~damaged).drop(BAD)
+    return raw.where(~damaged_row(F.col(BAD), len(schema.fields))).drop(BAD)
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
