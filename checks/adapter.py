@@ -48,7 +48,7 @@ QUALITY = [
 ]
 
 TABLES = Tables(
-    stop=STOP, lemmas=LEMMAS, rules=tuple(RULES), lexicon=LEXICON, legal_terms=LEGAL_TERMS,
+    stop=STOP, lemmas=LEMMAS, suffix_rules=None, rules=tuple(RULES), lexicon=LEXICON, legal_terms=LEGAL_TERMS,
 )
 
 # Personal data that stands in for redactions.

@@ -5,8 +5,10 @@ from __future__ import annotations
 from storyloom.lexicons import (
     CHART_STOP_WORDS,
     LEMMA_SUFFIXES,
+    LEMMAS,
     RESPONSE_CATEGORIES,
     SENTIMENT_LABELS,
+    STOP_WORDS,
 )
 from storyloom.operators.profile import CORRELATED
 
@@ -581,4 +583,11 @@ SELECT DISTINCT complaint_id, k.label AS label, k.text AS entity FROM
           SELECT complaint_id, s, s + length(phrase) AS e, label, phrase AS text FROM t JOIN ph ON (label = 'PAIR' AND phrase = two)
           UNION ALL SELECT complaint_id, s, s + length(phrase), label, phrase FROM t JOIN ph ON (label = 'TRIPLE' AND phrase = three))
     GROUP BY complaint_id))"""
+BODIES["lemma_table_tokens"] = f"""SELECT complaint_id, array_to_string(tokens, ' ') AS processed_text, {big('len(tokens)', 'n_tokens')} FROM
+(SELECT complaint_id, list_filter(list_transform(string_split_regex(clean, '[^a-z]+'), lambda w: CASE WHEN length(w) > 6 THEN w[1:5] ELSE w END),
+        lambda w: length(w) >= 2 AND w NOT IN {row_list(a.STOP)}) AS tokens FROM cleaned)"""
+BODIES["default_tokens"] = f"""SELECT lemma AS token, {big('sum(n)', 'n')} FROM
+(SELECT coalesce(t.lemma, {suffix('w.token')}) AS lemma, n FROM (SELECT token, count(*) AS n FROM words_long GROUP BY token) w
+ LEFT JOIN (VALUES {", ".join(f"({lit(k)}, {lit(v)})" for k, v in LEMMAS.items())}) t(token, lemma) ON t.token = w.token)
+WHERE length(lemma) >= 2 AND lemma NOT IN {row_list(STOP_WORDS)} GROUP BY lemma"""
 ORACLES = {name: sql(body) for name, body in BODIES.items()}

@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
 
 from storyloom.functions import entities as ent
 from storyloom.functions import features, sentiment, text
-from storyloom.functions.tokens import suffix_lemma
+from storyloom.functions.tokens import split_letters, suffix_lemma
 from storyloom.operators import phrases as phrases_
 from storyloom.operators import long_tokens, profile, quality, sampling, spelling, topk
 from storyloom.operators.entity_ranking import top_entities
@@ -207,6 +208,22 @@ def processed_text(spark, sf_dir):
     return with_tokens(spark, sf_dir).select(ID, "processed_text", F.size("tokens").alias("n_tokens"))
 
 
+@query
+def lemma_table_tokens(spark, sf_dir):
+    """Tokens with a lemma table that grows with the data: every longer word of the documents, cut to five letters."""
+    df = kept(spark, sf_dir).select(ID, "narrative")
+    words = df.select(F.explode(split_letters(clean_column())).alias("token")).distinct().filter(F.length("token") > 6)
+    lemmas = words.select("token", F.substring("token", 1, 5).alias("lemma"))
+    tables = replace(a.TABLES, lemmas=lemmas)
+    return plan.add_all_tokens(df, tables, ID).select(ID, "processed_text", F.size("tokens").alias("n_tokens"))
+
+
+@query
+def default_tokens(spark, sf_dir):
+    """How often each token occurs with the library's own lemmas, suffix rules and stop words."""
+    return topk.value_counts(topk.long_tokens(plan.add_all_tokens(kept(spark, sf_dir), plan.Tables())), "token")
+
+
 # Entities ------------------------------------------------------------------
 
 

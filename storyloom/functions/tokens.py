@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import re
+from itertools import groupby
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from storyloom import lexicons
@@ -14,11 +17,28 @@ def split_letters(clean: Column) -> Column:
     return F.filter(F.split(clean, "[^a-z]+"), lambda w: w != "")
 
 
+def _ending(pattern: str) -> str:
+    """The letters that a rule's matches end in."""
+    end = re.search(r"([a-z]*)\$$", pattern)
+    return end[1] if end else ""
+
+
 def suffix_lemma(word: Column, rules=lexicons.LEMMA_SUFFIXES) -> Column:
-    """Lemma by the first suffix rule that matches, else the word."""
+    """Lemma by the first suffix rule that matches, else the word.
+
+    Rules are tried by the word's ending, so most words meet none: of neighbouring rules that end in the same letter, the
+    patterns are only looked at for words that do.
+    """
     out = word
-    for pattern, replacement in reversed(rules):
-        out = F.when(word.rlike(pattern), F.regexp_replace(word, pattern, replacement)).otherwise(out)
+    groups = [(k, list(g)) for k, g in groupby(rules, lambda r: _ending(r[0])[-1:])]
+    for letter, group in reversed(groups):
+        rest = out
+        for pattern, replacement in reversed(group):
+            ending = _ending(pattern)
+            hit = word.rlike(pattern)
+            hit = F.endswith(word, F.lit(ending)) & hit if len(ending) > 1 else hit
+            rest = F.when(hit, F.regexp_replace(word, pattern, replacement)).otherwise(rest)
+        out = F.when(F.endswith(word, F.lit(letter)), rest).otherwise(out) if letter else rest
     return out
 
 

@@ -9,10 +9,13 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from storyloom import lexicons
 from storyloom.functions.entities import DEFAULT_RULES, add_entities
 from storyloom.functions.features import add_features
+from storyloom.functions.lookup import MAX_LITERAL_ENTRIES
 from storyloom.functions.sentiment import add_sentiment
 from storyloom.functions.text import long_enough, parse_date
 from storyloom.functions.tokens import add_tokens
+from storyloom.operators.joins import lookup_table
 from storyloom.operators.sampling import first_rows
+from storyloom.operators.word_lemmas import add_tokens_by_words
 from storyloom.sources.files import load_stage, save_stage
 
 
@@ -21,8 +24,9 @@ class Tables:
     """Term tables and switches of one enrichment."""
 
     stop: tuple = tuple(lexicons.STOP_WORDS)
-    lemmas: dict = field(default_factory=lambda: lexicons.LEMMAS)
-    suffix_rules: list | None = None
+    # a dictionary, or a table (token, lemma) of any size
+    lemmas: dict | DataFrame = field(default_factory=lambda: lexicons.LEMMAS)
+    suffix_rules: list | None = field(default_factory=lambda: lexicons.LEMMA_SUFFIXES)
     rules: tuple = tuple(DEFAULT_RULES)
     lexicon: lexicons.SentimentLexicon = lexicons.SENTIMENT
     legal_terms: tuple = tuple(lexicons.LEGAL_TERMS)
@@ -41,14 +45,21 @@ def clean_rows(df: DataFrame, text: str = "narrative", date: str = "date_receive
     return out
 
 
-def add_all_tokens(df: DataFrame, t: Tables) -> DataFrame:
+def add_all_tokens(df: DataFrame, t: Tables, key: str = "complaint_id") -> DataFrame:
+    """Tokens by expressions on the row; by a join over distinct words where the lemmas are a table, or too many for a plan.
+
+    Both give the same tokens. The join needs ``key``, which names rows.
+    """
+    if isinstance(t.lemmas, DataFrame) or len(t.lemmas) > MAX_LITERAL_ENTRIES:
+        table = t.lemmas if isinstance(t.lemmas, DataFrame) else lookup_table(df.sparkSession, t.lemmas, "token", "lemma")
+        return add_tokens_by_words(df, key, table, normalise=t.normalise, stop=t.stop, suffix_rules=t.suffix_rules)
     return add_tokens(
         df, normalise=t.normalise, stop=t.stop, lemmas=t.lemmas, suffix_rules=t.suffix_rules
     )
 
 
 def enrich(df: DataFrame, tables: Tables = Tables()) -> DataFrame:
-    """Every derived column in one pass over the narratives, without a shuffle."""
+    """Every derived column in one pass over the narratives, without a shuffle unless the lemma table is too large for a plan."""
     out = add_all_tokens(clean_rows(df), tables)
     out = add_entities(out, rules=tables.rules, mask_first=tables.mask_first)
     out = add_sentiment(out, lex=tables.lexicon)
