@@ -590,4 +590,12 @@ BODIES["default_tokens"] = f"""SELECT lemma AS token, {big('sum(n)', 'n')} FROM
 (SELECT coalesce(t.lemma, {suffix('w.token')}) AS lemma, n FROM (SELECT token, count(*) AS n FROM words_long GROUP BY token) w
  LEFT JOIN (VALUES {", ".join(f"({lit(k)}, {lit(v)})" for k, v in LEMMAS.items())}) t(token, lemma) ON t.token = w.token)
 WHERE length(lemma) >= 2 AND lemma NOT IN {row_list(STOP_WORDS)} GROUP BY lemma"""
+# Runs 0 to 4: all stages; none; those from the table on; those from the sample on; all, over twice the rows.
+BODIES["stage_changes"] = """SELECT CAST(run AS BIGINT) AS run, stage, CAST(n AS BIGINT) AS n FROM
+(SELECT 0 AS run, unnest(['01_clean', '02_tokens', '03_entities', '04_sentiment', '05_features']) AS stage, (SELECT count(*) FROM kept) AS n
+ UNION ALL SELECT 0, '00_raw', (SELECT count(*) FROM complaints)
+ UNION ALL SELECT 2, '05_features', (SELECT count(*) FROM kept)
+ UNION ALL SELECT 3, unnest(['01_clean', '02_tokens', '03_entities', '04_sentiment', '05_features']), (SELECT least(count(*), 200) FROM kept)
+ UNION ALL SELECT 4, unnest(['01_clean', '02_tokens', '03_entities', '04_sentiment', '05_features']), (SELECT least(2 * count(*), 200) FROM kept)
+ UNION ALL SELECT 4, '00_raw', (SELECT 2 * count(*) FROM complaints))"""
 ORACLES = {name: sql(body) for name, body in BODIES.items()}

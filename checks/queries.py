@@ -679,6 +679,23 @@ def stage_roundtrip(spark, sf_dir):
     return last.select(ID, *FEATURES)
 
 
+@query
+def stage_changes(spark, sf_dir):
+    """Runs into one folder with a changed table, then a changed sample, then a changed source: the stages each computes."""
+    folder, source = scratch_dir(spark, "stages"), scratch_dir(spark, "source")
+    a.complaints(spark, sf_dir).write.parquet(source)
+    read = lambda: spark.read.parquet(source)
+    other = replace(a.TABLES, legal_terms=("license",))
+    seen = []
+    for run, (tables, sample) in enumerate([(a.TABLES, None), (a.TABLES, None), (other, None), (other, 200), (other, 200)]):
+        if run == 4:
+            read().write.mode("append").parquet(source)
+        last, reports = plan.run_stages(spark, read(), folder, tables, key=ID, sample=sample)
+        # row counts of what was computed, as written
+        seen += [(run, r["path"].rsplit("/", 1)[1], r["rows"]) for r in reports]
+    return spark.createDataFrame(seen, "run long, stage string, n long")
+
+
 @query
 def incremental_enrich(spark, sf_dir):
     """Two runs over a growing folder: the second adds only the files that are new."""

@@ -17,6 +17,7 @@ from storyloom.operators.joins import lookup_table
 from storyloom.operators.sampling import first_rows
 from storyloom.operators.word_lemmas import add_tokens_by_words
 from storyloom.sources.files import load_stage, save_stage
+from storyloom.sources.manifest import fingerprint, read_manifest, write_manifest
 
 
 @dataclass(frozen=True)
@@ -77,6 +78,15 @@ STAGES = {
 }
 
 
+# Stage name -> the fields of ``Tables`` that decide what it adds.
+MADE_WITH = {
+    "02_tokens": ("stop", "lemmas", "suffix_rules", "normalise"),
+    "03_entities": ("rules", "mask_first"),
+    "04_sentiment": ("lexicon",),
+    "05_features": ("legal_terms", "masks"),
+}
+
+
 def run_stages(
     spark: SparkSession,
     source: DataFrame | None,
@@ -88,16 +98,28 @@ def run_stages(
 ) -> tuple[DataFrame, list[dict]]:
     """Write each stage below ``folder``; return the last one and the stage reports.
 
-    ``resume_from`` names the first stage to compute again. Without it, stages whole
-    on disk are read back, so a run that was cut short goes on where it stopped.
+    Each stage has a manifest: a digest of the source's files, plan and schema, of the tables and options that
+    it uses, and of the stage before. A stage that is whole on disk and was made by the same is read back, so a run that was cut
+    short goes on where it stopped, and one with another source, table or sample computes from there on.
+    ``resume_from`` names the first stage to compute again in any case. Without a source the first stage
+    is taken as it lies.
     """
     if sample is not None and not key:
         raise ValueError("a sample needs the key that orders it")
-    current, reports, redo = source, [], False
+    current, reports, redo, parent = source, [], False, None
     for name, step in STAGES.items():
         path = f"{folder.rstrip('/')}/{name}"
         redo = redo or name == resume_from
-        done = None if redo else load_stage(spark, path)
+        options = {"sample": sample, "key": key} if name == "01_clean" else {f: getattr(tables, f) for f in MADE_WITH.get(name, ())}
+        if name != "00_raw":
+            made_by = fingerprint(stage=name, parent=parent, options=options)
+        elif source is not None:
+            made_by = fingerprint(stage=name, source=source)
+        else:
+            made_by = read_manifest(spark, path)
+        same = source is None and name == "00_raw" or read_manifest(spark, path) == made_by
+        done = load_stage(spark, path) if same and not redo else None
+        parent = made_by
         if done is not None:
             current = done
             continue
@@ -108,5 +130,6 @@ def run_stages(
         if name == "01_clean" and key:
             result = first_rows(result, key, sample)
         reports.append(save_stage(result, path))
+        write_manifest(spark, path, made_by)
         current = spark.read.parquet(path)
     return current, reports
