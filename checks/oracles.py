@@ -486,7 +486,9 @@ BODIES |= {
        (SELECT {ellipsis('company', 22, 22)} FROM (SELECT company FROM kept GROUP BY company ORDER BY count(*) DESC, company LIMIT 1)) AS top_company,
        {big('trunc(median(word_count))', 'median_tokens')},
        {r6('avg(CAST(legal_term_count > 0 AS INT)) * 100', 'legal_pct')} FROM enriched""",
-    "kpis_empty": "SELECT CAST(0 AS BIGINT) AS n_rows, '—' AS top_issue, '—' AS top_company FROM region LIMIT 1",
+    "kpis_empty": """SELECT count(*) AS n_rows, CAST(avg(CAST(vader_label LIKE '%Negativo' AS INT)) AS DOUBLE) AS negative_pct, coalesce(max(issue), '—') AS top_issue,
+       coalesce(max(company), '—') AS top_company, CAST(median(word_count) AS BIGINT) AS median_tokens, CAST(avg(legal_term_count) AS DOUBLE) AS legal_pct
+FROM enriched WHERE product = 'no such product'""",
     "funnel": f"""SELECT stage, {big('n', 'n')} FROM (
 SELECT '1 raw' AS stage, (SELECT count(*) FROM complaints) AS n UNION ALL
 SELECT '2 cleaned' AS stage, (SELECT count(*) FROM kept) AS n UNION ALL

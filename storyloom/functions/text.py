@@ -57,9 +57,35 @@ def plain_spaces(c: Column) -> Column:
     return F.translate(c, OTHER_SPACES, " " * len(OTHER_SPACES))
 
 
+@cache
+def control_class() -> str:
+    """A pattern for the characters of category C but tab and newline, spelled out as ranges.
+
+    The ranges are those of this Python's Unicode version (``unicodedata.unidata_version``), made here on the driver, so that
+    the result does not depend on what the JDK of an executor knows as assigned. Each class asks for the wider range
+    first, so that a letter is settled by few comparisons.
+    """
+    import sys
+    import unicodedata
+
+    ranges: list[list[int]] = []
+    for i in range(sys.maxunicode + 1):
+        if unicodedata.category(chr(i))[0] == "C" and i not in (9, 10):
+            if ranges and ranges[-1][1] == i - 1:
+                ranges[-1][1] = i
+            else:
+                ranges.append([i, i])
+    spelled = lambda rs: "".join(f"\\x{{{a:x}}}-\\x{{{b:x}}}" for a, b in rs)
+    low = [r for r in ranges if r[1] < 0x300]
+    high = ranges[len(low) :]
+    groups = [high[i : i + 24] for i in range(0, len(high), 24)]
+    within = "".join(f"[{spelled([[g[0][0], g[-1][1]]])}&&[{spelled(g)}]]" for g in groups)
+    return f"[{spelled(low)}]|[\\x{{300}}-\\x{{10ffff}}&&[{within}]]"
+
+
 def strip_control(c: Column) -> Column:
     """Drop control, format, private, surrogate and unassigned characters but tab and newline."""
-    return F.regexp_replace(c, r"[\p{C}&&[^\t\n ]]", "")
+    return F.regexp_replace(c, control_class(), "")
 
 
 def normalize_unicode(c: Column) -> Column:

@@ -10,11 +10,7 @@ from storyloom.operators import topk
 from storyloom.operators.entity_ranking import entity_mentions, top_entities
 from storyloom.operators.histogram import histogram
 from storyloom.operators.profile import yearly_counts
-from storyloom.operators.quantiles import (
-    one_quantile,
-    pivot_quantiles,
-    quantiles_of,
-)
+from storyloom.operators.quantiles import one_quantile
 from storyloom.operators.sampling import sample_uniform
 from storyloom.plans.filters import ALL, Filters, select_present
 
@@ -34,22 +30,34 @@ def _maybe_sample(df: DataFrame, key: str | None, n: int | None) -> DataFrame:
 
 
 def kpis(df: DataFrame, filters: Filters = ALL, labels=LABELS) -> DataFrame:
-    """One row: rows, % negative, top issue, top company, median tokens, % with a legal term."""
-    kept = filters.apply(df)
-    percent = lambda test: F.avg(F.coalesce(test, F.lit(False)).cast("int")) * 100
-    totals = kept.agg(
-        F.count(F.lit(1)).alias("n_rows"),
-        percent(F.col("vader_label").isin(*labels[:2])).alias("negative_pct"),
-        percent(F.col("legal_term_count") > 0).alias("legal_pct"),
+    """One row: rows, % negative, top issue, top company, median tokens, % with a legal term.
+
+    The table is read once, for counts by issue, by company, by token count and over all; every figure comes from those few
+    rows (different token counts are no more than the longest text has words). Without rows the count is 0,
+    the tops are a dash and the other figures null.
+    """
+    columns = [F.col(c) for c in ("issue", "company", "word_count")]
+    counts = filters.apply(df).groupingSets([[c] for c in columns] + [[]], *columns).agg(
+        F.grouping_id().alias("_g"),
+        F.count(F.lit(1)).alias("n"),
+        F.count_if(F.col("vader_label").isin(*labels[:2])).alias("negative"),
+        F.count_if(F.col("legal_term_count") > 0).alias("legal"),
     )
-    first = lambda col: topk.top_k(kept, col, 1).select(ellipsis(F.col(col), 22, 22)).scalar()
-    return totals.select(
-        "n_rows",
-        "negative_pct",
-        F.coalesce(first("issue"), F.lit(NONE)).alias("top_issue"),
-        F.coalesce(first("company"), F.lit(NONE)).alias("top_company"),
-        one_quantile(kept, F.col("word_count"), 0.5).cast("int").alias("median_tokens"),
-        "legal_pct",
+    by_issue, by_company, by_tokens, all_ = (F.col("_g") == g for g in (0b011, 0b101, 0b110, 0b111))
+
+    def first(group: Column, name: str) -> Column:
+        best = F.min(F.when(group & F.col(name).isNotNull(), F.struct((-F.col("n")).alias("n"), F.col(name).alias("value"))))
+        return F.coalesce(ellipsis(best["value"], 22, 22), F.lit(NONE)).alias(f"top_{name}")
+
+    share = lambda c: F.try_divide(F.max(F.when(all_, F.col(c))) * F.lit(100.0), F.max(F.when(all_, F.col("n"))))
+    tokens, rows = F.when(by_tokens, F.col("word_count")), F.when(by_tokens, F.col("n")).otherwise(0)
+    return counts.agg(
+        F.coalesce(F.max(F.when(all_, F.col("n"))), F.lit(0)).alias("n_rows"),
+        share("negative").alias("negative_pct"),
+        first(by_issue, "issue"),
+        first(by_company, "company"),
+        F.percentile(tokens, F.lit(0.5), rows).cast("int").alias("median_tokens"),
+        share("legal").alias("legal_pct"),
     )
 
 
@@ -131,26 +139,25 @@ def diversity_histogram(df: DataFrame, filters: Filters = ALL, bins: int = 40) -
 
 
 def word_count_boxes(df: DataFrame, filters: Filters = ALL, upto: float = 0.98, labels=LABELS) -> DataFrame:
-    """Box statistics of the word count per label, rows above the 98th percentile left out."""
-    n = F.count(F.lit(1)).alias("c")
-    pairs = filters.apply(df).groupBy("vader_label", F.col("word_count").cast("double").alias("v")).agg(n)
-    merged = pairs.where(F.col("v").isNotNull()).groupBy("v").agg(F.sum("c").alias("c"))
-    limit = quantiles_of(merged.select(F.lit("all").alias("group"), "v", "c"), [upto]).select("value").scalar()
-    rows = pairs.where((F.col("v") <= limit) & F.col("vader_label").isin(*labels)).withColumnRenamed("vader_label", "group")
-    names = {0.25: "q25", 0.5: "median", 0.75: "q75"}
-    boxes = pivot_quantiles(quantiles_of(rows, list(names)), names)
-    reach = 1.5 * (F.col("q75") - F.col("q25"))
-    # one row per label: at most len(labels)
-    inside = F.col("v").between(F.col("q25") - reach, F.col("q75") + reach)
-    return (
-        rows.join(F.broadcast(boxes), "group")
-        .groupBy("group", "q25", "median", "q75")
-        .agg(
-            F.sum("c").alias("n"),
-            F.min(F.when(inside, F.col("v"))).alias("low_fence"),
-            F.max(F.when(inside, F.col("v"))).alias("high_fence"),
-        )
-        .withColumnRenamed("group", "vader_label")
+    """Box statistics of the word count per label, rows above the 98th percentile left out.
+
+    All comes from the rows per label and word count, of which there are no more than the longest text has words.
+    """
+    v, c = F.col("v"), F.col("c")
+    counts = filters.apply(df).groupBy("vader_label", F.col("word_count").cast("double").alias("v")).agg(F.count(F.lit(1)).alias("c"))
+    counts = counts.where(v.isNotNull())
+    # one row, joined to the counts of each value; the counts are shuffled once and read by all
+    limit = counts.groupBy("v").agg(F.sum("c").alias("c")).agg(F.percentile(v, F.lit(float(upto)), c)).scalar()
+    rows = counts.where((v <= limit) & F.col("vader_label").isin(*labels))
+    of_label = rows.groupBy("vader_label").agg(
+        F.percentile(v, F.array(*map(F.lit, (0.25, 0.5, 0.75))), c).alias("q"), F.sum("c").alias("n"), F.collect_set("v").alias("values")
+    )
+    q25, median, q75 = (F.col("q")[i] for i in range(3))
+    reach = 1.5 * (q75 - q25)
+    inside = F.filter("values", lambda x: x.between(q25 - reach, q75 + reach))
+    return of_label.select(
+        "vader_label", q25.alias("q25"), median.alias("median"), q75.alias("q75"), "n",
+        F.array_min(inside).alias("low_fence"), F.array_max(inside).alias("high_fence"),
     )
 
 

@@ -105,3 +105,16 @@ def test_dates_labels_and_clipping(spark):
     words = df.select(text.remove_word(F.lit("mask a mask. masks"), "mask")).first()[0]
     assert words == " a . masks"
     assert df.select(text.response_category(F.lit("Closed")), text.response_category(F.lit("?"))).first()[:] == ("closed", None)
+
+
+def test_control_characters_over_all_code_points(spark):
+    import unicodedata
+
+    from storyloom.functions.text import strip_control
+
+    every = [chr(i) for i in range(0x110000) if not 0xD800 <= i < 0xE000]
+    texts = ["".join(every[i : i + 5_000]) for i in range(0, len(every), 5_000)] + ["\U0001FAE0 melting", "a\u200bb\tc\n"]
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, t string")
+    got = {r["i"]: r["u"] for r in df.select("i", strip_control(F.col("t")).alias("u")).collect()}
+    for i, t in enumerate(texts):
+        assert got[i] == "".join(c for c in t if unicodedata.category(c)[0] != "C" or c in "\t\n ")
