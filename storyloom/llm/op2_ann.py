@@ -62,7 +62,7 @@ def nearest(
 ) -> DataFrame:
     """The ``k`` nearest rows (largest inner product) found for each row whose id is divisible by ``every``.
 
-    Every row is coded to one bit a dimension about the mean of all vectors. In a block, the k-th largest
+    Every row is coded to one bit a dimension about the mean of all vectors (each cut to the median length). In a block, the k-th largest
     lower bound of a query is a floor: vectors whose upper bound reaches it are scored on the original vectors
     in double precision, all others are left aside. ``width`` (deviations) sets how rarely a bound is wrong.
 
@@ -78,8 +78,12 @@ def nearest(
     turn = rotation(d, seed)
     centre = np.zeros(d)
     if n:
+        # vectors longer than the median count with its length, so that a few huge ones do not move the centre away
+        long = rows.select("vec", F.sqrt(F.aggregate("vec", F.lit(0.0), lambda a, x: a + x * x)).alias("length"))
+        usual = long.agg(F.percentile_approx("length", 0.5)).first()[0]
+        cut = F.least(F.lit(1.0), F.lit(usual) / F.col("length"))
         # partial sums: one array per task and position, not one row per component
-        means = rows.select(F.posexplode("vec").alias("i", "x")).groupBy("i").agg(F.avg("x").alias("m")).collect()
+        means = long.select(cut.alias("cut"), F.posexplode("vec").alias("i", "x")).groupBy("i").agg(F.avg(F.col("x") * F.col("cut")).alias("m")).collect()
         for m in means:
             centre[m["i"]] = m["m"]
 
@@ -102,7 +106,9 @@ def nearest(
                 own = ids == q["query_id"].to_numpy()[a : a + STEP, None]
                 low = np.where(own, -np.inf, guess - reach)
                 floor = np.partition(low, -k, axis=1)[:, -k] if len(ids) > k else np.full(len(low), -np.inf)
-                for i, keep in enumerate((guess + reach >= floor[:, None]) & ~own):
+                # where an estimate left the range of floats, bounds say nothing: all are scored
+                lost = ~np.isfinite(guess + reach).all(axis=1)
+                for i, keep in enumerate(((guess + reach >= floor[:, None]) | lost[:, None]) & ~own):
                     at = np.flatnonzero(keep)
                     score = (raw[at] * qv[a + i]).sum(axis=1)
                     best = np.lexsort((ids[at], -score))[:k]

@@ -118,6 +118,11 @@ def test_nearest(spark):
     want = brute(rows, 20, 20, lambda a, b: float((a * b).sum()), any)
     got = {(r["query_id"], r["rank"], r["vec_id"]) for r in nearest(vectors(spark, rows)).collect()}
     assert len(got & want) >= 0.9 * len(want) and len(got) == len(want)
+    # huge components, in ordinary rows' company
+    rows += [(1_000, [1e30] + [0.0] * 7), (1_001, [0.0, 3e12] + [0.0] * 6), (1_020, [0.0, 0.0, -1e19] + [0.0] * 5)]
+    want = brute(rows, 20, 20, lambda a, b: float((a * b).sum()), any)
+    got = {(r["query_id"], r["rank"], r["vec_id"]) for r in nearest(vectors(spark, rows)).collect()}
+    assert len(got & want) >= 0.9 * len(want) and len(got) == len(want)
     assert nearest(vectors(spark, [])).count() == 0
     assert nearest(vectors(spark, rows[:1])).count() == 0
 
