@@ -116,27 +116,46 @@ CORRELATED = (
 ).split()
 
 
+def _sum_name(*at: int) -> str:
+    return "_s" + "_".join(map(str, at))
+
+
 def correlation_matrix(df: DataFrame, columns=CORRELATED) -> DataFrame:
     """Pearson correlation of each pair of present columns, in one pass over the table.
 
-    A pair without a row where both are present has no result row.
-
-    A constant column gives null; plain ``corr`` would fail on it in ANSI mode.
+    Rows are added up per pattern of nulls (at most two to the power of the columns): count, sums, squares and
+    products of the distances from a value of each column, and least and greatest values. The pairs are made of
+    those sums alone. A pair without a row where both are present has no result row; one with a constant column
+    gives null.
     """
     present = [c for c in columns if c in df.columns]
-    pairs = list(combinations(present, 2))
-    # One row per pair keeps the aggregate small enough to be compiled; the rows are
-    # merged per pair before the shuffle.
-    cells = F.array(
-        *[
-            F.struct(
-                F.lit(a).alias("a"), F.lit(b).alias("b"),
-                F.col(a).cast("double").alias("x"), F.col(b).cast("double").alias("y"),
-            )
-            for a, b in pairs
-        ]
-    )
-    both = df.select(F.inline(cells)).where(F.col("x").isNotNull() & F.col("y").isNotNull())
-    return both.groupBy("a", "b").agg(
-        F.try_divide(F.covar_pop("x", "y"), F.stddev_pop("x") * F.stddev_pop("y")).alias("r")
+    numbers = df.select(*(F.col(c).cast("double").alias(f"_v{i}") for i, c in enumerate(present)))
+    # Any value of the column will do: it keeps the squares of large, close numbers apart.
+    some = numbers.limit(1_000).agg(*(F.min(f"_v{i}").alias(f"_v{i}") for i in range(len(present))))
+    near = {i: F.coalesce(some.select(f"_v{i}").scalar(), F.lit(0.0)) for i in range(len(present))}
+    distances = numbers.select(*((F.col(f"_v{i}") - near[i]).alias(f"_v{i}") for i in range(len(present))))
+    present_bits = sum((F.when(F.col(f"_v{i}").isNotNull(), 1 << i).otherwise(0) for i in range(len(present))), F.lit(0))
+    sums = [F.sum(f"_v{i}").alias(_sum_name(i)) for i in range(len(present))]
+    sums += [F.sum(F.col(f"_v{i}") * F.col(f"_v{j}")).alias(_sum_name(i, j)) for i in range(len(present)) for j in range(i, len(present))]
+    ends = [f(f"_v{i}").alias(f"_{name}{i}") for i in range(len(present)) for name, f in (("lo", F.min), ("hi", F.max))]
+    parts = distances.groupBy(present_bits.cast("long").alias("_bits")).agg(F.count(F.lit(1)).alias("_n"), *sums, *ends)
+    cells = [
+        F.struct(
+            F.lit(a).alias("a"), F.lit(b).alias("b"),
+            (F.col("_bits").bitwiseAND(F.lit((1 << i) | (1 << j))) == F.lit((1 << i) | (1 << j))).alias("both"),
+            F.col("_n").alias("n"), *(F.col(_sum_name(*at)).alias(name) for name, at in
+                                      (("x", (i,)), ("y", (j,)), ("xx", (i, i)), ("yy", (j, j)), ("xy", (i, j)))),
+            *(F.col(f"_{name}{k}").alias(f"{name}_{side}") for k, side in ((i, "x"), (j, "y")) for name in ("lo", "hi")),
+        )
+        for (i, a), (j, b) in combinations(enumerate(present), 2)
+    ]
+    if not cells:
+        return df.sparkSession.createDataFrame([], "a string, b string, r double")
+    pairs = parts.select(F.inline(F.array(*cells))).where("both").groupBy("a", "b")
+    total = pairs.agg(
+        *(F.sum(c).alias(c) for c in ("n", "x", "y", "xx", "yy", "xy")),
+        ((F.min("lo_x") == F.max("hi_x")) | (F.min("lo_y") == F.max("hi_y"))).alias("constant"),
     )
+    n, x, y = F.col("n"), F.col("x"), F.col("y")
+    spread = F.sqrt(F.greatest(F.col("xx") - x * x / n, F.lit(0.0))) * F.sqrt(F.greatest(F.col("yy") - y * y / n, F.lit(0.0)))
+    return total.select("a", "b", F.when(~F.col("constant"), F.try_divide(F.col("xy") - x * y / n, spread)).alias("r"))

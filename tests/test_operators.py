@@ -167,3 +167,48 @@ def test_corrections(spark):
         (" ", 0, []),
         ("fine", 0, []),
     ]
+
+
+def test_samples_and_first_rows_stay_in_place(spark):
+    df = spark.range(0, 300_000, 1, 6).withColumn("s", F.concat(F.lit("k"), F.col("id") % 7))
+    for taken in (sampling.sample_uniform(df, "id", 250_000), sampling.first_rows(df, "id", 250_000)):
+        assert "Sort" not in plan_text(taken) and "Exchange" not in plan_text(taken)
+        assert taken.count() == 250_000
+    assert sampling.first_rows(df, "id", 250_000).agg(F.max("id")).first()[0] == 249_999
+
+
+def test_first_rows_of_repeated_null_and_negative_keys(spark):
+    rows = [(k, i) for i, k in enumerate([5, None, -3, 5, 0, None, 5, -3])]
+    df = spark.createDataFrame(rows, "k int, i int")
+    keys = lambda n: sorted((r.k for r in sampling.first_rows(df, "k", n).collect()), key=lambda k: (k is None, k or 0))
+    order = [-3, -3, 0, 5, 5, 5, None, None]
+    assert [keys(n) for n in range(9)] == [order[:n] for n in range(9)]
+    words = df.select(F.col("k").cast("string").alias("k"), "i")
+    assert sorted(r.k for r in sampling.first_rows(words, "k", 4).collect()) == ["-3", "-3", "0", "5"]
+    halves = df.select((F.col("k") / 2).alias("k"), "i")
+    assert [r.k for r in sampling.first_rows(halves, "k", 3).collect()] == [-1.5, -1.5, 0.0]
+    assert sampling.sample_uniform(df, "k", 7).count() == 7
+    assert set(sampling.sample_uniform(df, "k", 4).collect()) == set(sampling.sample_uniform(df.repartition(3), "k", 4).collect())
+
+
+def test_a_long_border_takes_more_digits(spark, monkeypatch):
+    monkeypatch.setattr(sampling, "BORDER", 3)
+    monkeypatch.setattr(sampling, "PREFIX", 1)
+    df = spark.range(500).select((F.col("id") * 37 % 100 - 50).alias("k"), "id")
+    want = sorted(r.k for r in df.collect())
+    for n in (1, 5, 6, 123, 499):
+        assert sorted(r.k for r in sampling.first_rows(df, "k", n).collect()) == want[:n]
+
+
+def test_correlation_with_scattered_nulls_and_large_close_numbers(spark):
+    draw = np.random.default_rng(3)
+    frame = pd.DataFrame({"a": 1.7e9 + draw.normal(size=400), "b": draw.normal(size=400), "c": 0.1, "d": np.nan})
+    frame["b"] += frame["a"] - 1.7e9
+    frame.loc[draw.random(400) < 0.3, "a"] = np.nan
+    frame.loc[draw.random(400) < 0.2, "b"] = np.nan
+    rows = [tuple(None if pd.isna(v) else float(v) for v in r) for r in frame.itertuples(index=False)]
+    df = spark.createDataFrame(rows, "a double, b double, c double, d double")
+    got = {(r.a, r.b): r.r for r in profile.correlation_matrix(df, "abcd").collect()}
+    assert set(got) == {("a", "b"), ("a", "c"), ("b", "c")}
+    assert abs(got["a", "b"] - frame["a"].corr(frame["b"])) < 1e-7
+    assert got["a", "c"] is None and got["b", "c"] is None
