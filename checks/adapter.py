@@ -40,6 +40,21 @@ LEXICON = SentimentLexicon(
     contrast="orantion",
 )
 
+# Words of symbols; those in the lexicon count for the valence scorer.
+SYMBOLS = {
+    "😂": "hehely face", "😡": "worthless", "❤": "thatin heart", "❤️‍🔥": "heart on fire", "👋": "waving hand",
+    "👋🏽": "toned hand", "👨‍👩‍👧": "family", "👨": "man",
+}
+# Planted by the id's remainder: texts in front of and behind the narrative.
+PLANTED = (("😂", ""), ("", " 😡😡"), ("❤️‍🔥 ", "❤"), ("👨‍👩‍👧👨 ", " 👋🏽"), ("", ""), ("😂😂 ", "👋.😡"))
+
+
+def with_symbols(text, key):
+    at = F.pmod(key, F.lit(len(PLANTED)))
+    side = lambda i: F.element_at(F.array(*(F.lit(p[i]) for p in PLANTED)), (at + 1).cast("int"))
+    return F.concat(side(0), text, side(1))
+
+
 QUALITY = [
     QualityRule("doubled_word", r"\b([A-Za-z]+) \1\b", "$1"),
     QualityRule("doubled_space", r"  +", " "),

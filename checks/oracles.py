@@ -361,19 +361,34 @@ def suffix(w: str) -> str:
     return out
 
 
-def _quality() -> str:
-    fixed = replace_all(replace_all(replace_all("narrative", "  +", " "), " +,", ","), "!!+", "!")
+# Narratives with the second of two equal words dropped, and how many were. In a run of equal words every other one goes.
+UNDOUBLED = r"""(WITH p AS (SELECT complaint_id, unnest(ps) AS p, generate_subscripts(ps, 1) AS i FROM
+        (SELECT complaint_id, regexp_extract_all(narrative, '[\p{L}\p{N}_]+|[^\p{L}\p{N}_]+') AS ps FROM complaints WHERE narrative IS NOT NULL)),
+      w AS (SELECT *, coalesce(regexp_full_match(p, '[A-Za-z]+') AND lag(p, 1) OVER o = ' ' AND lag(p, 2) OVER o = p, false) AS again
+            FROM p WINDOW o AS (PARTITION BY complaint_id ORDER BY i)),
+      -- a run goes on over the blanks between its words
+      r AS (SELECT *, sum(CASE WHEN again OR NOT regexp_matches(p, '^[\p{L}\p{N}_]') THEN 0 ELSE 1 END) OVER (PARTITION BY complaint_id ORDER BY i) AS run FROM w),
+      d AS (SELECT *, again AND count_if(again) OVER (PARTITION BY complaint_id, run ORDER BY i) % 2 = 1 AS gone FROM r),
+      g AS (SELECT *, gone OR coalesce(lead(gone) OVER (PARTITION BY complaint_id ORDER BY i), false) AS dropped FROM d),
+      t AS (SELECT complaint_id, coalesce(string_agg(p, '' ORDER BY i) FILTER (NOT dropped), '') AS undoubled, count_if(gone) AS n_doubled FROM g GROUP BY complaint_id)
+   SELECT complaint_id, narrative, coalesce(undoubled, '') AS undoubled, CAST(coalesce(n_doubled, 0) AS BIGINT) AS n_doubled
+   FROM complaints LEFT JOIN t USING (complaint_id))"""
+
+
+def _quality(source: str = "complaints", text: str = "narrative", first: str = "") -> str:
+    fixed = replace_all(replace_all(replace_all(text, "  +", " "), " +,", ","), "!!+", "!")
     n = lambda p: matches(p, "narrative")
     kinds = (
         f"list_concat(list_transform(range({n('  +')}), lambda z: 'doubled_space'), "
         f"list_concat(list_transform(range({n(' +,')}), lambda z: 'space_before_comma'), "
         f"list_transform(range({n('!!+')}), lambda z: 'repeated_mark')))"
     )
+    kinds = f"list_concat({first}, {kinds})" if first else kinds
     empty = "trim(narrative) = ''"
     return f"""SELECT complaint_id, CASE WHEN {empty} THEN narrative ELSE {fixed} END AS texto_corregido,
        {big(f"CASE WHEN {empty} THEN 0 ELSE len({kinds}) END", 'cantidad_errores')},
        CASE WHEN {empty} THEN '' ELSE array_to_string({kinds}, ',') END AS tipos_errores
-FROM complaints WHERE narrative IS NOT NULL"""
+FROM {source} WHERE narrative IS NOT NULL"""
 
 
 def _corr() -> str:
@@ -527,6 +542,7 @@ GROUP BY entity, vader_label""",
         for c in ("narrative", "product", "issue", "company", "date_received", "timely", "state", "response")
     ),
     "text_quality": _quality(),
+    "text_quality_words": _quality(UNDOUBLED, "undoubled", "list_transform(range(n_doubled), lambda z: 'doubled_word')"),
     "csv_import": "SELECT CAST(doc_id AS VARCHAR) AS doc_id, text, lang, source FROM documents UNION ALL SELECT 'short-' || CAST(doc_id AS VARCHAR) AS doc_id, lang AS text, NULL AS lang, NULL AS source FROM documents",
     "stage_roundtrip": f"SELECT complaint_id, {FEATURE_COLUMNS} FROM feat",
     "incremental_enrich": f"SELECT complaint_id, {FEATURE_COLUMNS} FROM feat",
@@ -600,4 +616,25 @@ BODIES["stage_changes"] = """SELECT CAST(run AS BIGINT) AS run, stage, CAST(n AS
  UNION ALL SELECT 3, unnest(['01_clean', '02_tokens', '03_entities', '04_sentiment', '05_features']), (SELECT least(count(*), 200) FROM kept)
  UNION ALL SELECT 4, unnest(['01_clean', '02_tokens', '03_entities', '04_sentiment', '05_features']), (SELECT least(2 * count(*), 200) FROM kept)
  UNION ALL SELECT 4, '00_raw', (SELECT 2 * count(*) FROM complaints))"""
+
+
+def _planted(side: int) -> str:
+    return f"CASE complaint_id % {len(a.PLANTED)} " + " ".join(f"WHEN {i} THEN {lit(p[side])}" for i, p in enumerate(a.PLANTED)) + " END"
+
+
+def _described(c: str) -> str:
+    """Longest symbols first; a blank goes before a name unless one is there or the text begins, also where symbols touch."""
+    for symbol in sorted(a.SYMBOLS, key=len, reverse=True):
+        name = a.SYMBOLS[symbol]
+        for _ in range(2):
+            c = replace_all(c, f"([^ ]){symbol}", rf"\1 {name}")
+        c = f"replace({c}, {lit(symbol)}, {lit(name)})"
+    return c
+
+
+PLANTED = _described(f"{_planted(0)} || narrative || {_planted(1)}")
+BODIES["symbol_words"] = f"SELECT complaint_id, md5({PLANTED}) AS text_md5 FROM complaints"
 ORACLES = {name: sql(body) for name, body in BODIES.items()}
+ORACLES["symbol_valence"] = ORACLES["polarity"].replace(
+    CTES["spoken"], CTES["spoken"].replace("FROM kept)", f"FROM (SELECT complaint_id, {PLANTED} AS narrative FROM kept))")
+)

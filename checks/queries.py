@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from storyloom.functions import entities as ent
 from storyloom.functions import features, sentiment, text
+from storyloom.functions.symbols import describe_symbols
 from storyloom.functions.tokens import split_letters, suffix_lemma
 from storyloom.operators import phrases as phrases_
 from storyloom.operators import long_tokens, profile, quality, sampling, spelling, topk
@@ -302,6 +303,24 @@ def polarity(spark, sf_dir):
     return with_sentiment(spark, sf_dir).select(ID, "vader_compound", "vader_neg", "vader_neu", "vader_pos")
 
 
+def planted(df: DataFrame) -> DataFrame:
+    return df.select(ID, a.with_symbols(F.col("narrative"), F.col(ID)).alias("narrative"))
+
+
+@query
+def symbol_words(spark, sf_dir):
+    """Narratives with planted emoji, joined, skin-toned and repeated ones among them, as words."""
+    df = planted(a.complaints(spark, sf_dir))
+    return df.select(ID, F.md5(describe_symbols(F.col("narrative"), a.SYMBOLS)).alias("text_md5"))
+
+
+@query
+def symbol_valence(spark, sf_dir):
+    """Valence of such narratives; words of the symbols' names are in the lexicon."""
+    scored = sentiment.add_sentiment(planted(kept(spark, sf_dir)), lex=replace(a.LEXICON, symbols=a.SYMBOLS))
+    return scored.select(ID, "vader_compound", "vader_neg", "vader_neu", "vader_pos")
+
+
 @query
 def polarity_label(spark, sf_dir):
     return with_sentiment(spark, sf_dir).select(ID, "vader_label", "textblob_label")
@@ -596,7 +615,7 @@ def text_quality(spark, sf_dir):
 
 @query
 def text_quality_words(spark, sf_dir):
-    """With the doubled-word rule, whose back-reference the oracle's engine lacks."""
+    """With the doubled-word rule, a back-reference; the SQL compares neighbouring words instead."""
     return _quality(spark, sf_dir, a.QUALITY)
 
 

@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from storyloom import lexicons
 from storyloom.functions.let import let
 from storyloom.functions.lookup import hash_lookup
+from storyloom.functions.symbols import MARK, describe_symbols
 from storyloom.functions.text import plain_spaces, text_or_empty
 
 # Fixed values of the published valence model.
@@ -72,6 +73,7 @@ class Words:
     marks: Column  # table record per word, null for most
     caps: Column  # some words in capitals, but not all
     hits: Column  # positions of the words that have a record
+    own: Column | None = None  # per word, whether it is the text's own and not of a symbol's name; None: all are
 
 
 def _word_valence(i: Column, t: Words, lex: lexicons.SentimentLexicon, phrase, phrase_booster) -> Column:
@@ -216,8 +218,11 @@ def _valence(text: Column, t: Words, lex: lexicons.SentimentLexicon) -> Column:
 def _tone(t: Words) -> Column:
     """Struct of ``polarity, subjectivity``: means over the rated words."""
 
+    def mark(i):
+        return F.get(t.marks, i) if t.own is None else F.when(F.get(t.own, i), F.get(t.marks, i))
+
     def rated(i):
-        m, before, earlier = (F.get(t.marks, i - k) for k in range(3))
+        m, before, earlier = (mark(i - k) for k in range(3))
         plain = F.coalesce(before["intensity"], F.lit(1.0))
         negated = F.coalesce(before["negation"], F.lit(False)) | F.coalesce(
             before["intensity"].isNotNull() & earlier["negation"], F.lit(False)
@@ -235,7 +240,7 @@ def _tone(t: Words) -> Column:
         ).otherwise(0.0)
         return F.struct(mean("p").alias("polarity"), mean("s").alias("subjectivity"))
 
-    listed = F.filter(t.hits, lambda i: F.get(t.marks, i)["polarity"].isNotNull())
+    listed = F.filter(t.hits, lambda i: mark(i)["polarity"].isNotNull())
     return let(F.transform(listed, rated), means)
 
 
@@ -263,15 +268,19 @@ def sentiment_of(
     lex: lexicons.SentimentLexicon = lexicons.SENTIMENT,
     labels=lexicons.SENTIMENT_LABELS,
 ) -> Column:
-    """Struct of the eight sentiment fields of a text."""
+    """Struct of the eight sentiment fields of a text.
+
+    Symbols of ``lex.symbols`` count as the words of their names for the valence scorer; the tone scorer passes
+    over those words. The private-use character U+E000 tells them apart and is dropped from texts.
+    """
     find = hash_lookup(marks_table(lex), MARK_TYPE)
 
-    def of_words(c, shown, lower, marks):
+    def of_words(c, shown, lower, marks, own):
         caps = F.exists(shown, lambda w: ~_is_upper(w)) & F.exists(shown, _is_upper)
         hits = F.filter(F.transform(marks, lambda m, i: F.when(m.isNotNull(), i)), lambda i: i.isNotNull())
         return let(
             F.struct(caps.alias("caps"), hits.alias("hits")),
-            lambda x: _both(c, Words(shown, lower, marks, x["caps"], x["hits"])),
+            lambda x: _both(c, Words(shown, lower, marks, x["caps"], x["hits"], own)),
         )
 
     def _both(c, t):
@@ -290,16 +299,21 @@ def sentiment_of(
             textblob_label(polarity, labels).alias("textblob_label"),
         )
 
-    return let(
-        text_or_empty(text),
-        lambda c: let(
-            words_of(c),
-            lambda shown: let(
-                F.transform(shown, F.lower),
-                lambda lower: let(F.transform(lower, find), lambda marks: of_words(c, shown, lower, marks)),
-            ),
-        ),
-    )
+    def marked(c, shown, own=None):
+        return let(
+            F.transform(shown, F.lower),
+            lambda lower: let(F.transform(lower, find), lambda marks: of_words(c, shown, lower, marks, own)),
+        )
+
+    def told_apart(c, raw):
+        own = F.transform(raw, lambda w: ~F.startswith(w, F.lit(MARK)))
+        plain = F.transform(raw, lambda w: F.translate(w, MARK, ""))
+        return let(own, lambda o: let(plain, lambda shown: marked(c, shown, o)))
+
+    if not lex.symbols:
+        return let(text_or_empty(text), lambda c: let(words_of(c), lambda shown: marked(c, shown)))
+    described = describe_symbols(text_or_empty(text), lex.symbols, MARK)
+    return let(described, lambda c: let(words_of(c), lambda raw: told_apart(c, raw)))
 
 
 SENTIMENT_COLUMNS = (

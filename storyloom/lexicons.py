@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
+from storyloom.functions.symbols import symbol_names
+
 # ---------------------------------------------------------------------------
 # Must equal the original analysis for equal results.
 # ---------------------------------------------------------------------------
@@ -195,6 +197,7 @@ class SentimentLexicon:
     idioms: dict = field(default_factory=dict)  # phrase of 2 or 3 words -> valence
     phrase_boosters: dict = field(default_factory=dict)  # phrase -> scalar
     contrast: str = "but"
+    symbols: dict = field(default_factory=dict)  # emoji or other symbol sequence -> its words
 
 
 _UP, _DOWN = 0.293, -0.293  # published booster scalars
@@ -254,4 +257,5 @@ SENTIMENT = SentimentLexicon(
     phrase_boosters={
         "kind of": _DOWN, "sort of": _DOWN, "just enough": _DOWN,
     },
+    symbols=symbol_names(),
 )
