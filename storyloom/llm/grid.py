@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -15,6 +15,8 @@ VECTORS = 32_768
 QUERIES = 4_096
 # Blocks of vectors, at least, so that a small table still spreads.
 LEAST = 24
+# Rows, by smallest hash, whose exact scores give each query a floor for all blocks. Results do not depend on it.
+SAMPLE = 2_048
 
 
 def valid(vector: Column) -> Column:
@@ -37,6 +39,45 @@ def stack(column: pd.Series, width: int, kind=np.float64) -> np.ndarray:
     return np.stack(column.to_numpy()).astype(kind, copy=False)
 
 
+def sample_of(rows: DataFrame, d: int) -> tuple[np.ndarray, np.ndarray]:
+    """Ids and vectors of the ``SAMPLE`` rows of the smallest hashes."""
+    frame = rows.orderBy(F.xxhash64("vec_id", "vec"), "vec_id").limit(SAMPLE).select("vec_id", "vec").toPandas()
+    return frame["vec_id"].to_numpy(np.int64), stack(frame["vec"], d)
+
+
+def floors(queries: np.ndarray, own: np.ndarray, ids: np.ndarray, sample: np.ndarray, k: int) -> np.ndarray:
+    """A score that ``k`` rows other than the query's own reach for certain, by query; -inf where the sample has too few.
+
+    Products are lessened by more than their rounding. A score is at most the largest long, so a floor is too.
+    """
+    out = np.full(len(queries), -np.inf)
+    if len(ids) < k:
+        return out
+    lengths = np.linalg.norm(sample, axis=1)
+    for a in range(0, len(queries), 256):
+        q = queries[a : a + 256]
+        with np.errstate(over="ignore", invalid="ignore"):
+            low = q @ sample.T - 1e-9 * np.linalg.norm(q, axis=1)[:, None] * lengths
+        low = np.where(np.isnan(low) | (ids == own[a : a + 256, None]), -np.inf, low)
+        out[a : a + 256] = np.partition(low, -k, axis=1)[:, -k]
+    return np.minimum(out, 2.0**63)
+
+
+def with_floor(queries: DataFrame, rows: DataFrame, d: int, k: int) -> DataFrame:
+    """The queries with their ``floor`` among a sample of the rows, worked out once for all blocks."""
+    ids, sample = sample_of(rows, d)
+    shared = queries.sparkSession.sparkContext.broadcast((ids, sample))
+
+    def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        known, vectors = shared.value
+        for batch in batches:
+            own = batch["query_id"].to_numpy()
+            yield batch.assign(floor=floors(stack(batch["vec"], d), own, known, vectors, k))
+
+    kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in queries.schema.fields)
+    return queries.mapInPandas(work, f"{kinds}, floor double")
+
+
 def search(
     index: DataFrame, queries: DataFrame, n_index: int, n_queries: int, k: int,
     cell: Callable[[pd.DataFrame, pd.DataFrame], pd.DataFrame], score_type: str,

@@ -9,10 +9,8 @@ import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
 from storyloom.llm.common import stored
-from storyloom.llm.grid import of_one_length, search, stack, valid
+from storyloom.llm.grid import of_one_length, sample_of, search, stack, valid, with_floor
 
-# Rows among which pivots are chosen, by smallest hash. Results do not depend on it.
-SAMPLE = 2_048
 # Candidates that are scored between two looks at the stopping rule.
 STEP = 256
 LONG = 2**63 - 1
@@ -44,9 +42,10 @@ def exact_products(vectors: np.ndarray, query: np.ndarray) -> np.ndarray:
     return (vectors @ query).astype(np.int64)
 
 
-def nearest_of(query: np.ndarray, own: int, ids: np.ndarray, vectors: np.ndarray, bound: np.ndarray, k: int):
-    """The best ``k`` (ids, scores): candidates in order of their upper bound, until none left can enter."""
-    bound = np.where(ids == own, -np.inf, bound)
+def nearest_of(query: np.ndarray, own: int, ids: np.ndarray, vectors: np.ndarray, bound: np.ndarray, k: int, floor: float = -np.inf):
+    """The best ``k`` (ids, scores) that can reach ``floor``: candidates in order of their upper bound, until none left can enter."""
+    able = (ids != own) & (bound >= floor)
+    ids, vectors, bound = ids[able], vectors[able], bound[able]
     best_ids, best = np.zeros(0, np.int64), np.zeros(0, np.int64)
     size, taken = STEP, 0
     while taken < len(ids):
@@ -58,7 +57,6 @@ def nearest_of(query: np.ndarray, own: int, ids: np.ndarray, vectors: np.ndarray
             order = order[np.argpartition(-bound[order], size - 1)]
         now, order = order[:size], order[size:]
         taken += size
-        now = now[ids[now] != own]
         ids_, score = np.concatenate((best_ids, ids[now])), np.concatenate((best, exact_products(vectors[now], query)))
         top = np.lexsort((ids_, -score))[:k]
         best_ids, best = ids_[top], score[top]
@@ -71,15 +69,16 @@ def nearest_of(query: np.ndarray, own: int, ids: np.ndarray, vectors: np.ndarray
 
 
 def top_products(
-    vectors: DataFrame, every: int = 50, k: int = 5, scale: int = 256, pivots: int = 16,
+    vectors: DataFrame, every: int = 50, k: int = 5, scale: int = 256, pivots: int = 256,
     id_col: str = "vec_id", vec_col: str = "embedding",
 ) -> DataFrame:
     """The ``k`` largest integer inner products of each row whose id is divisible by ``every``, exactly.
 
     Components x become floor(scale * x). Distances of every row to the pivots are computed once and stored. For a
     query, |d(q, p) - d(o, p)| over all pivots p is a lower bound of d(q, o), hence (|q|^2 + |o|^2 -
-    bound^2) / 2 is an upper bound of the score; candidates are scored in bound order until the next bound is
-    below the k-th score. Where pivots separate little, that is all of them: the result is exact always.
+    bound^2) / 2 is an upper bound of the score. Candidates below the query's floor, the k-th largest score among a
+    sample of the rows, go; the rest are scored in bound order until the next bound is below the k-th score. Where
+    pivots separate little, that is most of them: the result is exact always.
 
     Rows whose vector is null, empty, of another length than the commonest, or holds null or non-finite components
     take no part, nor do rows without an id; a query's own id is no candidate; zero vectors take part. Ties go to
@@ -93,9 +92,7 @@ def top_products(
     down = lambda x: F.rint(x) - F.when(F.rint(x) > x, 1.0).otherwise(0.0)
     rows = rows.select("vec_id", F.transform("vec", lambda x: down(x * scale)).alias("vec"))
     rows, d, n = of_one_length(rows)
-    # a bounded sample: the SAMPLE smallest hashes
-    sample = rows.orderBy(F.xxhash64("vec_id", "vec"), "vec_id").limit(SAMPLE).select("vec").toPandas() if n else None
-    chosen = choose_pivots(stack(sample["vec"], d), pivots) if n else np.zeros((0, d))
+    chosen = choose_pivots(sample_of(rows, d)[1], pivots) if n else np.zeros((0, d))
 
     def measure(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -107,17 +104,22 @@ def top_products(
         ids, raw, found = v["vec_id"].to_numpy(), stack(v["vec"], d), []
         if len(q) and len(v):
             table, squares = stack(v["far"], len(chosen)).T.copy(), (raw * raw).sum(axis=1)
-            for row, own, query, far in zip(q["query_row"], q["query_id"], q["vec"], q["far"]):
+            for row, own, query, far, floor in zip(q["query_row"], q["query_id"], q["vec"], q["far"], q["floor"]):
                 query = np.asarray(query)
                 bound = np.zeros(len(ids))
                 for p, dp in zip(table, far):
                     np.maximum(bound, np.abs(p - dp), out=bound)
                 total = squares + query @ query
                 # room for rounding in the distances
-                upper = (total - bound * bound) / 2 + 1e-9 * (total + 1)
-                at, score = nearest_of(query, own, ids, raw, upper, k)
+                with np.errstate(over="ignore", invalid="ignore"):
+                    upper = (total - bound * bound) / 2 + 1e-9 * (total + 1)
+                # no bound beyond the range of doubles; and no score is below the least long
+                upper = np.maximum(np.where(np.isnan(upper), np.inf, upper), -(2.0**63))
+                at, score = nearest_of(query, own, ids, raw, upper, k, floor)
                 found.append(pd.DataFrame({"query_row": row, "query_id": own, "vec_id": at, "score": score}))
         return pd.concat(found) if found else pd.DataFrame({"query_row": [], "query_id": [], "vec_id": [], "score": []}, dtype="int64")
 
     queries = index.filter(F.col("vec_id") % every == 0).select(F.col("vec_id").alias("query_id"), "vec", "far")
+    if n:
+        queries = with_floor(queries, index.select("vec_id", "vec"), d, k)
     return search(index, queries, n, n // every + 1, k, cell, "long")
