@@ -9,7 +9,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
 from storyloom.llm.common import stored
-from storyloom.llm.grid import of_one_length, search, stack, valid
+from storyloom.llm.grid import of_one_length, search, stack, valid, with_floor
 
 # Queries of a block whose estimates are held at once: times the block's vectors, 4 bytes each.
 STEP = 128
@@ -62,9 +62,10 @@ def nearest(
 ) -> DataFrame:
     """The ``k`` nearest rows (largest inner product) found for each row whose id is divisible by ``every``.
 
-    Every row is coded to one bit a dimension about the mean of all vectors (each cut to the median length). In a block, the k-th largest
-    lower bound of a query is a floor: vectors whose upper bound reaches it are scored on the original vectors
-    in double precision, all others are left aside. ``width`` (deviations) sets how rarely a bound is wrong.
+    Every row is coded to one bit a dimension about the mean of all vectors (each cut to the median length). A query's floor is
+    the k-th largest exact score among a sample of the rows, or the k-th largest lower bound in a block where that
+    is higher: vectors whose upper bound reaches it are scored on the original vectors in double precision, all
+    others are left aside. ``width`` (deviations) sets how rarely a bound is wrong.
 
     Rows whose vector is null, empty, zero, of another length than the commonest, or holds null or non-finite
     components take no part, nor do rows without an id; a query's own id is no candidate. Ties go to the
@@ -106,6 +107,7 @@ def nearest(
                 own = ids == q["query_id"].to_numpy()[a : a + STEP, None]
                 low = np.where(own, -np.inf, guess - reach)
                 floor = np.partition(low, -k, axis=1)[:, -k] if len(ids) > k else np.full(len(low), -np.inf)
+                floor = np.fmax(floor, q["floor"].to_numpy()[a : a + STEP])
                 # where an estimate left the range of floats, bounds say nothing: all are scored
                 lost = ~np.isfinite(guess + reach).all(axis=1)
                 for i, keep in enumerate(((guess + reach >= floor[:, None]) | lost[:, None]) & ~own):
@@ -118,4 +120,6 @@ def nearest(
 
     chosen = index.filter(F.col("vec_id") % every == 0)
     queries = chosen.select(F.col("vec_id").alias("query_id"), "vec")
+    if n:
+        queries = with_floor(queries, index.select("vec_id", "vec"), d, k)
     return search(index, queries, n, n // every + 1, k, cell, "double")

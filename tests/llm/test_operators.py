@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 import corpus_pipeline
 from storyloom.llm.common import stored
 from storyloom.llm.op1_lm_scoring import score_documents
+from storyloom.llm.grid import floors
 from storyloom.llm.op2_ann import nearest
 from storyloom.llm.op3_token_counts import counter, token_counts
 from storyloom.llm.op4_mixing import mix, mixed
@@ -137,6 +138,36 @@ def test_top_products(spark):
     assert [(r["vec_id"], r["score"]) for r in sorted(big, key=lambda r: r["rank"])] == [(1, 2**63 - 1), (2, -(2**63))]
 
 
+def test_searches_over_more_rows_than_the_sample(spark):
+    rng = np.random.default_rng(11)
+    middles = rng.standard_normal((30, 24))
+    rows = [(i, (middles[i % 30] + 0.4 * rng.standard_normal(24)).astype(np.float32).tolist()) for i in range(3_000)]
+    frame = vectors(spark, rows)
+    v = np.array([r[1] for r in rows], np.float32).astype(float)
+
+    def best(q, of, k):
+        score = of @ of[q]
+        return [(q, n + 1, int(i)) for n, i in enumerate([i for i in np.lexsort((np.arange(len(of)), -score)) if i != q][:k])]
+
+    got = {(r["query_id"], r["rank"], r["vec_id"]) for r in top_products(frame).collect()}
+    assert got == {x for q in range(0, 3_000, 50) for x in best(q, np.floor(256 * v), 5)}
+    got = {(r["query_id"], r["vec_id"]) for r in nearest(frame).collect()}
+    want = {(q, i) for q in range(0, 3_000, 20) for q, _, i in best(q, v, 20)}
+    assert len(got & want) >= 0.97 * len(want) and len(got) == len(want)
+
+
+def test_floors_are_reached_by_k_other_rows():
+    rng = np.random.default_rng(2)
+    v = np.floor(256 * rng.standard_normal((70, 8)))
+    ids = np.arange(70)
+    got = floors(v, ids, ids[:40], v[:40], 5)
+    exact = np.where(ids[:40] == ids[:, None], -np.inf, v @ v[:40].T)
+    fifth = np.sort(exact, axis=1)[:, -5]
+    assert (got <= fifth).all() and np.allclose(got, fifth, rtol=1e-6, atol=1)
+    assert (floors(v, ids, ids[:4], v[:4], 5) == -np.inf).all()
+    assert (floors(v, ids, ids[:5], v[:5], 5)[:5] == -np.inf).all()
+
+
 def test_token_counts(docs, none):
     library = tokenizers.Tokenizer.from_file(WORD_FILE)
     want = sorted(((i, len((t or "").encode()), len(library.encode(t or "", add_special_tokens=False).ids)) for i, t, _, _ in ROWS), key=repr)
