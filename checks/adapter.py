@@ -8,7 +8,7 @@ from storyloom.functions.entities import Rule, phrases
 from storyloom.lexicons import SentimentLexicon
 from storyloom.operators.quality import QualityRule
 from storyloom.plans.enrich import Tables
-from storyloom.session import spread
+from storyloom.session import parts_for, path_bytes, spread
 
 STOP = tuple("the of and to a in is that it for was on with be by as this are at from".split())
 LEMMAS = {"thorreou": "thorre", "ererthre": "erer", "hering": "her"}
@@ -71,7 +71,8 @@ REDACT = r"\S+@\S+|\b\d{16}\b|\b\d{1,3}(\.\d{1,3}){3}\b"
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spread(spark.read.parquet(f"{sf_dir}/documents.parquet"), "doc_id")
+    path = f"{sf_dir}/documents.parquet"
+    return spread(spark.read.parquet(path), "doc_id", parts_for(spark, path_bytes(spark, path)))
 
 
 def complaints(spark: SparkSession, sf_dir: str, joined: bool = False) -> DataFrame:

@@ -33,7 +33,7 @@ def legal_term_count(text: Column, terms=lexicons.LEGAL_TERMS) -> Column:
 
 
 def uppercase_ratio(text: Column) -> Column:
-    upper = F.length(F.regexp_replace(text, r"\P{IsUppercase}", ""))
+    upper = F.length(F.regexp_replace(text, r"\P{IsUppercase}++", ""))
     return upper.cast("double") / (F.length(text) + 1)
 
 

@@ -47,7 +47,7 @@ def marks_table(lex: lexicons.SentimentLexicon) -> dict:
 
 def words_of(text: Column) -> Column:
     """Space-separated words without edge punctuation, unless two or fewer characters remain."""
-    chunks = F.filter(F.split(plain_spaces(text_or_empty(text)), r"\s+"), lambda w: w != "")
+    chunks = F.array_remove(F.split(F.translate(plain_spaces(text_or_empty(text)), "\t\n\x0b\f\r", " " * 5), " "), "")
 
     def strip(w):
         bare = F.btrim(w, F.lit(PUNCTUATION))
@@ -276,11 +276,12 @@ def sentiment_of(
     find = hash_lookup(marks_table(lex), MARK_TYPE)
 
     def of_words(c, shown, lower, marks, own):
-        caps = F.exists(shown, lambda w: ~_is_upper(w)) & F.exists(shown, _is_upper)
         hits = F.filter(F.transform(marks, lambda m, i: F.when(m.isNotNull(), i)), lambda i: i.isNotNull())
+        # only a listed word asks for capitals
+        caps = lambda h: (F.size(h) > 0) & F.exists(shown, lambda w: ~_is_upper(w)) & F.exists(shown, _is_upper)
         return let(
-            F.struct(caps.alias("caps"), hits.alias("hits")),
-            lambda x: _both(c, Words(shown, lower, marks, x["caps"], x["hits"], own)),
+            hits,
+            lambda h: let(caps(h), lambda some: _both(c, Words(shown, lower, marks, some, h, own))),
         )
 
     def _both(c, t):

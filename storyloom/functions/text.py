@@ -7,6 +7,7 @@ from functools import cache
 from pyspark.sql import Column, functions as F, types as T
 
 from storyloom import lexicons
+from storyloom.functions.let import let
 
 # The characters that count as white space in the original analysis and
 # that Java's fast ASCII ``\\s`` does not know. They become plain spaces first, because
@@ -92,21 +93,34 @@ def normalize_unicode(c: Column) -> Column:
     return strip_control(nfkc(text_or_empty(c)))
 
 
+def _replaced_where(c: Column, signs: tuple, pattern: str, by: str) -> Column:
+    """``regexp_replace``, but only in texts that hold one of ``signs``, without which the pattern has no match."""
+
+    def of(t: Column) -> Column:
+        some = F.contains(t, F.lit(signs[0]))
+        for sign in signs[1:]:
+            some = some | F.contains(t, F.lit(sign))
+        return F.when(some, F.regexp_replace(t, pattern, by)).otherwise(t)
+
+    return let(c, of)
+
+
 def mask_redactions(c: Column) -> Column:
-    return F.regexp_replace(c, MASK_PATTERN, MASK)
+    return _replaced_where(c, ("xx", "xX", "Xx", "XX"), MASK_PATTERN, MASK)
 
 
 def strip_urls(c: Column) -> Column:
-    return F.regexp_replace(c, URL_PATTERN, "")
+    return _replaced_where(c, ("http", "www."), URL_PATTERN, "")
 
 
 def strip_emails(c: Column) -> Column:
-    return F.regexp_replace(c, EMAIL_PATTERN, "")
+    return _replaced_where(c, ("@",), EMAIL_PATTERN, "")
 
 
 def letters_only(c: Column) -> Column:
     """Everything but a-z and brackets becomes one space; spaces are collapsed and trimmed."""
-    return F.trim(F.regexp_replace(c, r"[^a-z\[\]]+", " "))
+    # one space before a letter stays as it is, so most words meet no replacement
+    return F.trim(F.regexp_replace(c, r"(?! [a-z\[\]])[^a-z\[\]]+", " "))
 
 
 def collapse_space(c: Column) -> Column:

@@ -13,8 +13,8 @@ from storyloom.functions.text import clean_text
 
 
 def split_letters(clean: Column) -> Column:
-    """Letter runs of a cleaned text, in order."""
-    return F.filter(F.split(clean, "[^a-z]+"), lambda w: w != "")
+    """Letter runs of a cleaned text, in order: between its letters are only spaces and brackets."""
+    return F.array_remove(F.split(F.translate(clean, "[]", "  "), " "), "")
 
 
 def _ending(pattern: str) -> str:

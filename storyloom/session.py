@@ -45,10 +45,25 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
     return os.path.join(base, f"{name}-{uuid.uuid4().hex}")
 
 
+# Bytes of files that one task is dealt at most, about.
+PART_BYTES = 16 << 20
+
+
+def path_bytes(spark: SparkSession, path: str) -> int:
+    """Bytes of a file or of all files below a folder."""
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).getContentSummary(hadoop_path).getLength()
+
+
+def parts_for(spark: SparkSession, size: int) -> int:
+    """Tasks for ``size`` bytes of files: all cores, and more where one would get over ``PART_BYTES``."""
+    return max(spark.sparkContext.defaultParallelism, -(-size // PART_BYTES))
+
+
 def spread(df: DataFrame, key: str, parts: int | None = None) -> DataFrame:
     """Deal the rows over ``parts`` tasks (all cores) by ``key``: one shuffle, for the caller to ask for.
 
     Of use where a file has one row group and so one busy task. Hash on the key
-    keeps the placement the same when a task is run again.
+    keeps the placement the same when a task is run again. ``parts_for`` keeps tasks of one size however large the files are.
     """
     return df.repartition(parts or df.sparkSession.sparkContext.defaultParallelism, key)

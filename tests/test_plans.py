@@ -69,3 +69,23 @@ def test_subjectivity_falls_back_to_all_labels(spark):
     assert {r.vader_label for r in marts.subjectivity_histogram(df).collect()} == {"Negativo", "Positivo"}
     more = df.union(spark.createDataFrame([("Neutral", 0.5)], df.schema))
     assert {r.vader_label for r in marts.subjectivity_histogram(more).collect()} == {"Neutral"}
+
+
+def test_reports_work_out_only_their_columns(spark, sf_dir):
+    from checks import queries
+
+    whole = set(queries._ENRICHED)
+    table = queries.enriched(spark, sf_dir, "year", "vader_label")
+    assert table.columns == ["year", "vader_label"] or whole
+    assert set(queries._ENRICHED) == whole
+
+
+def test_tasks_keep_their_size_as_files_grow(spark, sf_dir):
+    from checks import adapter
+    from storyloom.session import PART_BYTES, parts_for, path_bytes
+
+    cores = spark.sparkContext.defaultParallelism
+    assert parts_for(spark, 1) == cores and parts_for(spark, 0) == cores
+    assert parts_for(spark, 1_000 * PART_BYTES + 1) == 1_001
+    assert 0 < path_bytes(spark, f"{sf_dir}/documents.parquet") < PART_BYTES
+    assert adapter.documents(spark, sf_dir).rdd.getNumPartitions() == cores
