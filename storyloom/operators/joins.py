@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-# Bytes up to which a lookup table is broadcast.
-BROADCAST_BYTES = 32 << 20
+# Bytes up to which a lookup table is broadcast. The driver holds its rows, the hash table and the pieces it sends: a multiple of this.
+BROADCAST_BYTES = 4 << 20
 # Copies of a larger lookup table, so that a hot key spreads over this many tasks.
 SALTS = 16
 

@@ -17,7 +17,8 @@ RUN = 512
 
 def word_lemmas(words: DataFrame, lemmas: DataFrame, suffix_rules=lexicons.LEMMA_SUFFIXES) -> DataFrame:
     """(token, lemma) of the distinct words (token) whose lemma is another word: by the table (token, lemma), else by rule."""
-    found = lookup_join(words.select("token").distinct(), lemmas.select("token", "lemma"), "token", "left")
+    # each word once on either side: no word is frequent here, and nothing need be broadcast
+    found = words.select("token").distinct().join(lemmas.select("token", "lemma").hint("merge"), "token", "left")
     by_rule = suffix_lemma(F.col("token"), suffix_rules) if suffix_rules else F.col("token")
     return found.select("token", F.coalesce("lemma", by_rule).alias("lemma")).filter("token != lemma")
 

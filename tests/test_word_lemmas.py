@@ -49,3 +49,14 @@ def test_rules_by_ending(spark):
     wrong = {w: got[w] for w in pairs if got[w] != pairs[w]}
     # what rules without a word list miss
     assert set(wrong) <= {"making", "gas", "dies", "agreed", "stated", "using"}
+
+
+def test_a_table_that_grows_is_not_broadcast_from_the_driver(spark):
+    from storyloom.operators.word_lemmas import word_lemmas
+
+    # the driver held tables of up to 32 MB several times over
+    assert joins.BROADCAST_BYTES <= 4 << 20
+    words = spark.createDataFrame([("banks",), ("banks",), ("x",)], "token string")
+    out = word_lemmas(words, spark.createDataFrame([("banks", "bank")], "token string, lemma string"), None)
+    assert "SortMergeJoin" in out._jdf.queryExecution().executedPlan().toString()
+    assert [tuple(r) for r in out.collect()] == [("banks", "bank")]
