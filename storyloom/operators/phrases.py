@@ -12,8 +12,8 @@ from storyloom.operators.joins import lookup_join
 
 # A word, or what stands between two words.
 PIECE = r"[\p{L}\p{N}_]++|[^\p{L}\p{N}_]++"
-# Pieces whose lengths are added up at once.
-BLOCK = 128
+# Pieces whose lengths are added up at once; each place adds up half as many on average.
+BLOCK = 16
 SPAN = "start int, length int, label string, text string"
 _SPANS = "array<struct<start:int,length:int,label:string,text:string>>"
 # Private characters that stand around a match while it is located; where a text holds them itself they read as U+FFFD.
@@ -39,18 +39,26 @@ def _pieces(text: Column) -> Column:
     return F.regexp_extract_all(text, F.lit(PIECE), F.lit(0))
 
 
-def _starts(pieces: Column, each) -> Column:
-    """``each(piece, i, start)`` of all pieces; ``start`` is the number of characters before, from sums over blocks."""
+def _starts(pieces: Column, each, first: Column | int = 0, step: int = 1) -> Column:
+    """``each(piece, i, start)`` of every ``step``-th piece from ``first`` on; ``start`` is the number of characters before, from sums over blocks."""
     n = F.size(pieces)
     blocks = F.transform(F.sequence(F.lit(0), F.greatest(n - 1, F.lit(0)), F.lit(BLOCK)), lambda b: F.length(F.array_join(F.slice(pieces, b + 1, F.lit(BLOCK)), "")))
-    sums = F.aggregate(blocks, F.array(F.lit(0)), lambda a, x: F.concat(a, F.array(F.element_at(a, -1) + x)))
+    running = lambda xs, start: F.aggregate(xs, F.array(start), lambda a, x: F.concat(a, F.array(F.element_at(a, -1) + x)))
+
+    def before(sizes: Column) -> Column:
+        # sums over groups of blocks first, so that no long array grows one by one
+        groups = F.sequence(F.lit(0), F.size(sizes) - 1, F.lit(BLOCK))
+        part = lambda g: F.slice(sizes, g + 1, F.lit(BLOCK))
+        totals = F.transform(groups, lambda g: F.aggregate(part(g), F.lit(0), lambda a, x: a + x))
+        return let(running(totals, F.lit(0)), lambda s: F.flatten(F.transform(groups, lambda g, i: F.slice(running(part(g), F.get(s, i)), F.lit(1), F.lit(BLOCK)))))
 
     def of(s: Column) -> Column:
         block = lambda i: F.floor(i / BLOCK).cast("int")
         inside = lambda i: F.when(i % BLOCK == 0, 0).otherwise(F.length(F.array_join(F.slice(pieces, block(i) * BLOCK + 1, F.greatest(i % BLOCK, F.lit(1))), "")))
-        return F.transform(pieces, lambda p, i: each(p, i, F.get(s, block(i)) + inside(i)))
+        places = F.when(n > first, F.sequence(F.lit(first) if isinstance(first, int) else first, n - 1, F.lit(step))).otherwise(F.array().cast("array<int>"))
+        return F.transform(places, lambda i: each(F.get(pieces, i), i, F.get(s, block(i)) + inside(i)))
 
-    return let(sums, of)
+    return let(let(blocks, before), of)
 
 
 def phrase_spans(df: DataFrame, key: str, text: str, phrases: DataFrame) -> DataFrame:
@@ -66,8 +74,10 @@ def phrase_spans(df: DataFrame, key: str, text: str, phrases: DataFrame) -> Data
     longest = keyed.agg(F.max("n")).first()[0] or 1
 
     def words(p: Column) -> Column:
-        every = _starts(p, lambda w, i, start: F.struct(start.cast("int").alias("start"), w.alias("first"), F.slice(p, i + 1, F.lit(longest)).alias("ahead")))
-        return F.filter(every, lambda w: F.regexp_like(w["first"], F.lit(r"^[\p{L}\p{N}_]")))
+        # words and what stands between them take turns
+        first = F.when(F.regexp_like(F.get(p, F.lit(0)), F.lit(r"^[\p{L}\p{N}_]")), 0).otherwise(1)
+        place = lambda w, i, start: F.struct(start.cast("int").alias("start"), w.alias("first"), F.slice(p, i + 1, F.lit(longest)).alias("ahead"))
+        return _starts(p, place, first, 2)
 
     rows = df.select(key, F.explode(let(_pieces(text_or_empty(F.col(text))), words)).alias("w")).select(key, "w.*")
     rows = lookup_join(rows, heads, "first", "inner").select(key, "start", "ahead", F.explode("ns").alias("n")).filter(F.size("ahead") >= F.col("n"))
@@ -85,7 +95,7 @@ def pattern_spans(text: Column, rules) -> Column:
 
         def located(parts: Column) -> Column:
             # gaps and matches take turns
-            matches = F.filter(_starts(parts, lambda p, i, start: F.struct(i.alias("i"), start.alias("start"), p.alias("text"))), lambda x: x["i"] % 2 == 1)
+            matches = _starts(parts, lambda p, i, start: F.struct(start.alias("start"), p.alias("text")), 1, 2)
             return F.transform(
                 matches, lambda m: F.struct(m["start"].cast("int").alias("start"), F.length(m["text"]).alias("length"), F.lit(rule.label).alias("label"), m["text"].alias("text"))
             )

@@ -56,3 +56,22 @@ def test_large_table(spark):
         want[i] = {"N": sorted({t[a:b] for a, b in kept})}
     assert got == want
     assert add_span_entities(rows(spark, texts), "id", "narrative", table.limit(0)).filter(F.size("entities") > 0).count() == 0
+
+
+def test_places_in_long_texts(spark):
+    from storyloom.operators.phrases import phrase_spans
+
+    words = [f"w{i % 7}" for i in range(3_000)]
+    text = " - ".join(words) + " the end"
+    table = spark.createDataFrame([("X", "the end"), ("Y", "w5 - w6")], "label string, phrase string")
+    found = phrase_spans(rows(spark, [text, " ..", "", "the end"]), "id", "narrative", table).collect()
+    assert sum(r["text"] == "the end" for r in found) == 2
+    starts = sorted(r["start"] for r in found if r["label"] == "Y")
+    assert starts == [i for i in range(len(text)) if text.startswith("w5 - w6", i)]
+
+
+def test_a_place_adds_up_few_pieces():
+    from storyloom.operators import phrases
+
+    # it was 128: each word of a text put 64 pieces together on average
+    assert phrases.BLOCK <= 16
