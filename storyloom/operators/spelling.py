@@ -2,14 +2,20 @@
 
 from __future__ import annotations
 
+from itertools import combinations
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from storyloom.operators.joins import lookup_join
+from storyloom.session import scratch_dir, spread
+from storyloom.sources.files import kept_table
 
 # Letters of a word that deletions are taken from. Words within a distance share a deletion of their first letters too.
 PREFIX = 7
 # Known words that share a deletion, above which both sides of that deletion are dealt over SALTS tasks.
 HOT, SALTS = 256, 32
+# Tasks that the words are dealt over before their deletions are taken.
+WORD_TASKS = 64
 # A run of letters, or what stands between two runs.
 WORD = "[A-Za-z]+"
 PIECE = "[A-Za-z]+|[^A-Za-z]+"
@@ -28,17 +34,15 @@ def word_counts(df: DataFrame, text: str) -> DataFrame:
 def deletions(word: Column, distance: int = 2, prefix: int = PREFIX) -> Column:
     """The first letters of a word, and all they leave when up to ``distance`` letters go; each once."""
 
-    def shorter(words: Column) -> Column:
-        def each(w: Column) -> Column:
-            gone = lambda i: F.concat(F.substring(w, F.lit(1), i - 1), F.substring(w, i + 1, F.length(w)))
-            return F.when(F.length(w) > 0, F.transform(F.sequence(F.lit(1), F.length(w)), gone)).otherwise(F.array().cast("array<string>"))
-
-        return F.array_distinct(F.flatten(F.transform(words, each)))
+    def without(gone: tuple) -> Column:
+        # what stands between the letters that go
+        ends = [0, *gone, prefix + 1]
+        kept = [F.substring(word, a + 1, b - a - 1) for a, b in zip(ends, ends[1:]) if b - a > 1]
+        rest = F.concat(*kept) if kept else F.lit("")
+        return F.when(F.length(word) >= gone[-1], rest) if gone else rest
 
-    every = [F.array(F.substring(word, 1, prefix))]
-    for _ in range(distance):
-        every.append(shorter(every[-1]))
-    return F.array_distinct(F.concat(*every))
+    places = [gone for n in range(min(distance, prefix) + 1) for gone in combinations(range(1, prefix + 1), n)]
+    return F.array_distinct(F.array_compact(F.array(*map(without, places))))
 
 
 def near_words(words: DataFrame, known: DataFrame, distance: int = 2) -> DataFrame:
@@ -48,9 +52,13 @@ def near_words(words: DataFrame, known: DataFrame, distance: int = 2) -> DataFra
     is then taken once per pair. A deletion that very many known words share is salted: its words are dealt by hash
     over ``SALTS`` tasks, its known words are copied to all of them.
     """
-    # a delete costs an edit on either side, so lengths differ by the distance at most
-    left = words.select("word", F.explode(deletions(F.col("word"), distance)).alias("key"))
-    right = known.select(F.col("word").alias("known"), "n", F.explode(deletions(F.col("word"), distance)).alias("key"))
+    # Few bytes of words make many keys: without being dealt out they would lie in one or two tasks.
+    spark = words.sparkSession
+    words = spread(words.select("word"), "word", max(spark.sparkContext.defaultParallelism, WORD_TASKS))
+    left = words.select("word", deletions(F.col("word"), distance).alias("keys")).select("word", F.explode("keys").alias("key"))
+    right = spread(known.select("word", "n"), "word").select(F.col("word").alias("known"), "n", deletions(F.col("word"), distance).alias("keys"))
+    # read twice: for the hot keys and for the pairs
+    right = kept_table(right.select("known", "n", F.explode("keys").alias("key")), scratch_dir(spark, "known-deletions"))
     hot = right.groupBy("key").count().filter(F.col("count") > HOT).select("key", F.lit(SALTS).alias("salts"))
     salts = F.coalesce("salts", F.lit(1))
     left = lookup_join(left, hot, "key").select("word", "key", F.pmod(F.xxhash64("word"), salts).cast("int").alias("salt"))
@@ -74,7 +82,8 @@ def corrections(words: DataFrame, known: DataFrame, distance: int = 2, min_lengt
 
 def corpus_corrections(df: DataFrame, text: str, known_from: int = 20, distance: int = 2, min_length: int = 4) -> DataFrame:
     """``corrections`` of the words that the texts hold fewer than ``known_from`` times, by those they hold more often."""
-    counts = word_counts(df, text)
+    # written: all that follows reads the counts, not the texts
+    counts = kept_table(word_counts(df, text), scratch_dir(df.sparkSession, "word-counts"))
     return corrections(counts, counts.filter(F.col("n") >= known_from), distance, min_length)
 
 

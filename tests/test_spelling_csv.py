@@ -86,3 +86,16 @@ def test_headers_by_name(spark, tmp_path):
     got = sorted(map(tuple, read_split_csv(spark, str(tmp_path), schema).collect()), key=repr)
     assert got == [("only", None), ("x\ny", 1), (None, 2)]
     assert read_split_csv(spark, str(tmp_path / "3.csv"), schema).count() == 0
+
+
+def test_words_are_dealt_out_before_deletions(spark):
+    from storyloom.operators.spelling import WORD_TASKS, deletions, near_words
+
+    words = spark.createDataFrame([("abcdefgh",), ("a",), ("",)], "word string").coalesce(1)
+    by_hand = lambda w, d: {"".join(c for i, c in enumerate(w[:7]) if i not in gone) for n in range(d + 1) for gone in __import__("itertools").combinations(range(len(w[:7])), n)}
+    for d in (1, 2, 3):
+        for r in words.select("word", deletions(F.col("word"), d).alias("k")).collect():
+            assert set(r["k"]) == by_hand(r["word"], d) and len(r["k"]) == len(set(r["k"]))
+    known = spark.createDataFrame([("abcdefg", 5)], "word string, n long")
+    plan = near_words(words, known)._jdf.queryExecution().optimizedPlan().toString()
+    assert f"RepartitionByExpression" in plan and str(WORD_TASKS) in plan
