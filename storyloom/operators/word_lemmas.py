@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from storyloom import lexicons
+from storyloom.functions.let import let
 from storyloom.functions.text import clean_text
 from storyloom.functions.tokens import split_letters, suffix_lemma
-from storyloom.operators.joins import lookup_join
+from storyloom.operators.joins import lookup_join, lookup_table
 from storyloom.session import scratch_dir
 from storyloom.sources.files import kept_table
 
@@ -19,7 +20,8 @@ def word_lemmas(words: DataFrame, lemmas: DataFrame, suffix_rules=lexicons.LEMMA
     """(token, lemma) of the distinct words (token) whose lemma is another word: by the table (token, lemma), else by rule."""
     # each word once on either side: no word is frequent here, and nothing need be broadcast
     found = words.select("token").distinct().join(lemmas.select("token", "lemma").hint("merge"), "token", "left")
-    by_rule = suffix_lemma(F.col("token"), suffix_rules) if suffix_rules else F.col("token")
+    # as one expression: the filter below would copy all rules into generated code that is too long to compile
+    by_rule = let(F.col("token"), lambda w: suffix_lemma(w, suffix_rules)) if suffix_rules else F.col("token")
     return found.select("token", F.coalesce("lemma", by_rule).alias("lemma")).filter("token != lemma")
 
 
@@ -28,6 +30,22 @@ def _kept(lemma: Column, stop, min_length: int) -> Column:
     return ok & ~lemma.isin(*sorted(stop)) if stop else ok
 
 
+def count_tokens(df: DataFrame, tables, text: str = "narrative", min_length: int = 2) -> DataFrame:
+    """(token, n): how often each token occurs in all texts, as ``add_all_tokens`` makes them from the same tables.
+
+    The words are counted first, so that lemma, rules and stop test run once per different word.
+    """
+    spark, lemmas = df.sparkSession, tables.lemmas
+    if not isinstance(lemmas, DataFrame):
+        lemmas = lookup_table(spark, lemmas, "token", "lemma")
+    words = df.select(F.explode(split_letters(clean_text(F.col(text), normalise=tables.normalise))).alias("token"))
+    counts = kept_table(words.groupBy("token").agg(F.count(F.lit(1)).alias("n")), scratch_dir(spark, "word-counts"))
+    changed = word_lemmas(counts, lemmas, tables.suffix_rules)
+    lemma = F.coalesce("lemma", "token")
+    named = counts.join(changed.hint("merge"), "token", "left").select(lemma.alias("token"), "n").filter(_kept(F.col("token"), tables.stop, min_length))
+    return named.groupBy("token").agg(F.sum("n").alias("n"))
+
+
 def add_tokens_by_words(
     df: DataFrame, key: str, lemmas: DataFrame, text: str = "narrative", normalise: bool = True, stop=lexicons.STOP_WORDS,
     suffix_rules=lexicons.LEMMA_SUFFIXES, min_length: int = 2,

@@ -99,3 +99,16 @@ def test_words_are_dealt_out_before_deletions(spark):
     known = spark.createDataFrame([("abcdefg", 5)], "word string, n long")
     plan = near_words(words, known)._jdf.queryExecution().optimizedPlan().toString()
     assert f"RepartitionByExpression" in plan and str(WORD_TASKS) in plan
+
+
+def test_many_documents_make_many_csv_files(spark, sf_dir, monkeypatch):
+    from checks import queries
+
+    want = sorted(map(tuple, queries.QUERIES["csv_split_import"](spark, sf_dir).collect()), key=repr)
+    folders = []
+    keep = queries.scratch_dir
+    monkeypatch.setattr(queries, "scratch_dir", lambda s, name: folders.append(keep(s, name)) or folders[-1])
+    monkeypatch.setattr(queries, "CSV_FILE", 100_000)
+    got = sorted(map(tuple, queries.QUERIES["csv_split_import"](spark, sf_dir).collect()), key=repr)
+    files = [f for f in spark.read.text(folders[0]).inputFiles() if f.endswith(".txt")]
+    assert got == want and len(files) > 1

@@ -60,3 +60,13 @@ def test_a_table_that_grows_is_not_broadcast_from_the_driver(spark):
     out = word_lemmas(words, spark.createDataFrame([("banks", "bank")], "token string, lemma string"), None)
     assert "SortMergeJoin" in out._jdf.queryExecution().executedPlan().toString()
     assert [tuple(r) for r in out.collect()] == [("banks", "bank")]
+
+
+def test_counted_tokens_equal_those_of_the_texts(spark):
+    from storyloom.operators.topk import long_tokens, value_counts
+    from storyloom.operators.word_lemmas import count_tokens
+
+    for t in (Tables(), Tables(suffix_rules=None), Tables(lemmas={}, stop=())):
+        want = {r["token"]: r["n"] for r in value_counts(long_tokens(add_all_tokens(rows(spark), t)), "token").collect()}
+        got = {r["token"]: r["n"] for r in count_tokens(rows(spark), t).collect()}
+        assert got == want and got
