@@ -49,7 +49,8 @@ def path_exists(spark: SparkSession, path: str) -> bool:
 def save_stage(df: DataFrame, path: str, partition_by: tuple = ()) -> dict:
     """Write a stage as Parquet; its row count is observed during the write."""
     seen = Observation()
-    writer = df.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode("overwrite")
+    # stages hold each text several times over; zstd halves what the default codec writes of them
+    writer = df.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").option("compression", "zstd")
     (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
     report = {"path": path, "rows": seen.get["rows"], "columns": len(df.columns)}
     log.info("stage %(path)s: %(rows)d rows, %(columns)d columns", report)

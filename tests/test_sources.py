@@ -140,3 +140,10 @@ def test_valence_file_capitals_and_conflicts(spark, tmp_path):
     path.write_text("fine\t0.8\t0.5\t[1]\nFine\t0.9\t0.5\t[1]\n")
     with pytest.raises(Exception, match="two valences for fine"):
         term_files.read_valence_file(spark, str(path)).collect()
+
+
+def test_stage_files_are_packed(spark, tmp_path):
+    from storyloom.sources import files as f
+
+    f.save_stage(spark.range(10), str(tmp_path / "s"))
+    assert list((tmp_path / "s").glob("*.zstd.parquet")) and f.load_stage(spark, str(tmp_path / "s")).count() == 10
