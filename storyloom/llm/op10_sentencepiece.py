@@ -14,13 +14,13 @@ from xxhash import xxh64_intdigest as hashed
 from pyspark.sql import Column, DataFrame, functions as F
 
 from storyloom.llm.common import map_texts
-from storyloom.llm.ragged import PairTable, agenda, merge_leftmost
+from storyloom.llm.ragged import BITS, LOW, PairTable, Ragged, agenda, merge_leftmost, merged, span
 
 SPACE_MARK = "▁"
 # No piece has a blank after another character, so these chunks never merge with each other.
 CHUNK = re.compile(r" *[^ ]+| +")
-# Longer chunks go through the queue one by one. Places in a shorter one fit into BITS.
-LONG, BITS = 48, 6
+# Longer chunks go through the queue one by one. Places in a shorter one fit into the BITS of ``merge_leftmost``.
+LONG = 48
 # Characters that are encoded together; nothing is kept from one piece to the next.
 PIECE = 1_000_000
 NO_HIT = 1 << BITS
@@ -35,35 +35,6 @@ def keyed(key: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(33))
 
 
-def packed(row, start, end):
-    """Chunk and span, or a chunk and a packed span, as one number."""
-    return (row << 2 * BITS) | (start << BITS) | end
-
-
-class Ragged:
-    """Rows of different lengths in one array."""
-
-    def __init__(self, flat: np.ndarray, size: np.ndarray):
-        self.flat, self.size = flat, size
-        self.first = np.cumsum(size) - size
-
-    @staticmethod
-    def empty(rows: int) -> Ragged:
-        return Ragged(np.zeros(0, np.int64), np.zeros(rows, np.int64))
-
-    def of(self, rows: np.ndarray) -> Ragged:
-        size = self.size[rows]
-        start = np.cumsum(size) - size
-        return Ragged(self.flat[np.arange(size.sum()) + np.repeat(self.first[rows] - start, size)], size)
-
-    def and_(self, other: Ragged) -> Ragged:
-        return Ragged(np.concatenate((self.flat, other.flat)), np.concatenate((self.size, other.size)))
-
-    def with_last(self, last: np.ndarray) -> Ragged:
-        """Each row with one more entry."""
-        return Ragged(np.insert(self.flat, self.first + self.size, last), self.size + 1)
-
-
 class Pieces:
     """The vocabulary of a model file, as pair table and byte strings."""
 
@@ -120,66 +91,45 @@ class Pieces:
         grown = np.bincount(np.searchsorted(symbols.first + symbols.size, odd, side="right"), weights=wide - 1, minlength=len(symbols.size))
         return Ragged(out, symbols.size + grown.astype(np.int64))
 
-    def run(self, symbols: np.ndarray, lengths: np.ndarray, left_out: np.ndarray) -> tuple[np.ndarray, ...]:
-        """The agenda of many chunks, without the candidates in ``left_out`` (sorted ``packed`` numbers).
-
-        Symbols that are left, and how many of each chunk; spans of the merges in the order they happen, and how many.
-        """
-
-        def skip(row: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-            if not len(left_out):
-                return np.zeros(len(row), bool)
-            code = packed(row, a, b)
-            return left_out[np.minimum(np.searchsorted(left_out, code), len(left_out) - 1)] == code
-
-        trace: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
-        merged, sizes = merge_leftmost(symbols, lengths, self.table, skip, trace)
-        if not trace:
-            return merged, sizes, np.zeros(0, np.int64), np.zeros(len(lengths), np.int64)
-        row, a, b = (np.concatenate(x) for x in zip(*trace))
-        # one merge a round and chunk, so the rounds are the order
-        order = np.argsort(row, kind="stable")
-        return merged, sizes, packed(0, a, b)[order], np.bincount(row, minlength=len(lengths))
-
     def cut(self, chunks: list[str], which: np.ndarray, keys: np.ndarray, bar: np.uint64) -> tuple[np.ndarray, Ragged]:
         """Number of the segmentation of each occurrence (``which`` chunk, and its key), and the segmentations.
 
         A tree per chunk: its agenda without skips meets candidates in an order, and as long as none of them is skipped it
         goes on as it would. So an occurrence is hashed against those only; the first that its key skips leads to the node
-        of the agenda without this candidate, and so on. A node is worked out once for all its occurrences.
+        of the agenda without this candidate, and so on. A node begins where its parent met the candidate, with the merges
+        made until then, and is worked out once for all its occurrences.
         """
         flat = self.letters[np.frombuffer("".join(chunks).encode("utf-32-le"), np.uint32)]
-        letters = Ragged(flat, np.array([len(c) for c in chunks], np.int64))
-        merged, sizes, spans, done = self.run(flat, letters.size, np.zeros(0, np.int64))
-        # of each node: its chunk, the skipped spans, the merges before the last skip, all merges, and what is left
-        chunk, skips, before = np.arange(len(chunks)), Ragged.empty(len(chunks)), np.zeros(len(chunks), np.int64)
-        merges, out = Ragged(spans, done), Ragged(merged, sizes)
-        at, active = which.copy(), np.arange(len(which)) if bar else np.zeros(0, np.int64)
-        while len(active):
-            n = merges.size[at[active]] - before[at[active]]
-            active, n = active[n > 0], n[n > 0]
+        symbols = Ragged(flat, np.array([len(c) for c in chunks], np.int64))
+        ends = Ragged(np.arange(len(flat)) - np.repeat(symbols.first, symbols.size) + 1, symbols.size)
+        # of one level's nodes: what they begin with, skipped spans, and merges; ``found`` and ``nodes`` of all levels
+        left_out, found, nodes = np.zeros((0, len(chunks)), np.int64), [], 0
+        at, active = which.copy(), np.arange(len(which))
+        while True:
+            merges = merge_leftmost(symbols, ends, self.table, left_out)
+            value, end = merged(symbols, ends, merges.flat, merges.size)
+            stay = end.flat > 0
+            found.append((value.flat[stay], np.add.reduceat(stay, symbols.first, dtype=np.int64)))
+            node = at[active] - nodes
+            n = merges.size[node] if bar else np.zeros(len(active), np.int64)
+            active, node, n = active[n > 0], node[n > 0], n[n > 0]
             if not len(active):
                 break
-            node = at[active]
             begin = np.cumsum(n) - n
-            place = np.arange(n.sum()) - np.repeat(begin, n)
-            span = merges.flat[place + np.repeat(merges.first[node] + before[node], n)]
-            hit = keyed(np.repeat(keys[active], n), span >> BITS, span & (NO_HIT - 1)) < bar
+            code = span(merges.flat[merges.places(node, n)])
+            hit = keyed(np.repeat(keys[active], n), code >> BITS, code & LOW) < bar
+            place = np.arange(len(code)) - np.repeat(begin, n)
             met = np.minimum.reduceat(np.where(hit, place, NO_HIT), begin)
-            active, met = active[met < NO_HIT], met[met < NO_HIT]
-            codes, child = np.unique((at[active] << BITS) | met, return_inverse=True)
-            if not len(codes):
+            active, node, met = active[met < NO_HIT], node[met < NO_HIT], met[met < NO_HIT]
+            if not len(active):
                 break
-            parent, j = codes >> BITS, codes & (NO_HIT - 1)
-            last = merges.flat[merges.first[parent] + before[parent] + j]
-            fresh = skips.of(parent).with_last(last)
-            at[active] = len(chunk) + child
-            chunk, before = np.concatenate((chunk, chunk[parent])), np.concatenate((before, before[parent] + j))
-            mine = letters.of(chunk[len(chunk) - len(parent) :])
-            left_out = np.sort(packed(np.repeat(np.arange(len(parent)), fresh.size), 0, fresh.flat))
-            merged, sizes, spans, done = self.run(mine.flat, mine.size, left_out)
-            skips, merges, out = skips.and_(fresh), merges.and_(Ragged(spans, done)), out.and_(Ragged(merged, sizes))
-        return at, out
+            codes, child = np.unique((node << BITS) | met, return_inverse=True)
+            nodes += len(symbols.size)
+            at[active] = nodes + child
+            parent, j = codes >> BITS, codes & LOW
+            left_out = np.concatenate((left_out[:, parent], span(merges.flat[merges.first[parent] + j])[None]))
+            symbols, ends = merged(symbols.of(parent), ends.of(parent), merges.flat[merges.places(parent, j)], j)
+        return at, Ragged(*(np.concatenate(x) for x in zip(*found)))
 
     def encode(self, texts: list[str | None], dropout: float, seed: int, ids: list | int = 0) -> list[np.ndarray]:
         """Ids of each text. Each occurrence of a chunk is cut by a key of its own: of seed, document (id and text) and place."""
@@ -204,7 +154,7 @@ class Pieces:
             at[i] = len(found.size) + len(more)
             more.append(np.array(agenda(self.symbols(every[i]), self.table, skip), np.int32))
         if more:
-            found = found.and_(Ragged(np.concatenate(more), np.array([len(x) for x in more], np.int64)))
+            found = Ragged(np.concatenate((found.flat, *more)), np.append(found.size, [len(x) for x in more]))
         symbols = self.spelled(found).of(at)
         ends = np.cumsum(np.bincount(np.repeat(np.arange(len(texts)), sizes), weights=symbols.size, minlength=len(texts)).astype(np.int64))
         return np.split(symbols.flat, ends[:-1])

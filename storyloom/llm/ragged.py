@@ -6,8 +6,13 @@ import heapq
 from collections.abc import Callable
 
 import numpy as np
+import pandas as pd
 
 NEVER = np.iinfo(np.int32).max
+# Places in a sequence of ``merge_leftmost`` fit into BITS, and its sequences lie in tables of these widths.
+BITS = 6
+LOW = (1 << BITS) - 1
+WIDTHS = (8, 16, 32, LOW)
 
 
 class PairTable:
@@ -15,20 +20,20 @@ class PairTable:
 
     def __init__(self, left, right, rank, made, symbols: int):
         key = np.asarray(left, np.int64) * symbols + np.asarray(right, np.int64)
-        order = np.argsort(key, kind="stable")
+        unique, order = np.unique(key, return_index=True)
         self.symbols = symbols
-        self.key = np.append(key[order], np.iinfo(np.int64).max)
-        self.rank = np.append(np.asarray(rank, np.int32)[order], NEVER)
-        self.made = np.append(np.asarray(made, np.int32)[order], -1)
+        self.key = pd.Index(unique)
+        # the last entries stand for pairs that do not merge, whose place in the index is -1
+        self.rank = np.append(np.asarray(rank, np.int32)[order], np.int32(NEVER))
+        self.made = np.append(np.asarray(made, np.int32)[order], np.int32(-1))
         self.one = dict(zip(key.tolist(), zip(np.asarray(rank).tolist(), np.asarray(made).tolist())))
 
     def find(self, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Rank (``NEVER`` where the pair does not merge) and result of each pair."""
         key = left.astype(np.int64) * self.symbols + right
         key[(left < 0) | (right < 0)] = -1
-        at = np.searchsorted(self.key, key)
-        hit = self.key[at] == key
-        return np.where(hit, self.rank[at], NEVER), np.where(hit, self.made[at], -1)
+        at = self.key.get_indexer(key)
+        return self.rank[at], self.made[at]
 
 
 def alternate(chosen: np.ndarray, joined: np.ndarray) -> np.ndarray:
@@ -114,64 +119,119 @@ def agenda(symbols: list[int], table: PairTable, skip: Callable[[int, int], bool
     return [v for v, w in zip(value, width) if w]
 
 
-def merge_leftmost(
-    symbols: np.ndarray, lengths: np.ndarray, table: PairTable, skip: Callable[[np.ndarray, np.ndarray, np.ndarray], np.ndarray],
-    trace: list | None = None,
-) -> tuple[np.ndarray, np.ndarray]:
-    """The agenda for many short sequences at once; returns symbols and lengths after it.
+class Ragged:
+    """Rows of different lengths in one array."""
 
-    Each round takes every sequence's best candidate (lowest rank, then leftmost)
-    that ``skip(sequence, start, end)`` does not leave out. As the skip depends on
-    the candidate alone, this gives what ``agenda`` gives. ``trace`` receives each round's merges as (sequence, start, end).
+    def __init__(self, flat: np.ndarray, size: np.ndarray):
+        self.flat, self.size = flat, size
+        self.first = np.cumsum(size) - size
+
+    def places(self, rows: np.ndarray, size: np.ndarray) -> np.ndarray:
+        """Where the first ``size`` entries of each of ``rows`` lie in ``flat``."""
+        start = np.cumsum(size) - size
+        return np.arange(size.sum()) + np.repeat(self.first[rows] - start, size)
+
+    def of(self, rows: np.ndarray) -> Ragged:
+        size = self.size[rows]
+        return Ragged(self.flat[self.places(rows, size)], size)
+
+
+def span(merge: np.ndarray) -> np.ndarray:
+    """Start and end of a merge (or of a packed span) as one number, the start in the higher bits."""
+    return merge & ((1 << 2 * BITS) - 1)
+
+
+def merged(symbols: Ragged, ends: Ragged, merges: np.ndarray, count: np.ndarray) -> tuple[Ragged, Ragged]:
+    """Rows as ``merge_leftmost`` takes them, after each row's merges (``count`` of them, in the order they happened)."""
+    at = np.repeat(symbols.first, count)
+    value, end = symbols.flat.copy(), ends.flat.copy()
+    # where symbols grew more than once from the same start, the last one stays
+    value[at + (merges >> BITS & LOW)] = merges >> 3 * BITS
+    end[at + (merges >> BITS & LOW)] = merges & LOW
+    end[at + (merges >> 2 * BITS & LOW)] = 0
+    return Ragged(value, symbols.size), Ragged(end, symbols.size)
+
+
+def merge_leftmost(symbols: Ragged, ends: Ragged, table: PairTable, left_out: np.ndarray) -> Ragged:
+    """The merges of the agenda for many short sequences (of at most ``LOW`` places) at once, in order.
+
+    ``ends`` holds the end of the symbol that starts at a place, and 0 at places inside a symbol. Column r of ``left_out``
+    holds the spans that are left out in row r. Each round takes every row's best candidate (lowest rank, then leftmost);
+    as leaving out depends on the span alone, this gives what ``agenda`` gives. A merge is result, start of its
+    right part, start and end, in BITS each from the second on.
     """
-    first = np.concatenate(([0], np.cumsum(lengths)[:-1])).astype(np.int64)
-    sequence = np.repeat(np.arange(len(lengths)), lengths)
-    begin = np.arange(len(symbols)) - first[sequence]
-    symbols, end = symbols.astype(np.int32).copy(), begin + 1
-    done: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
-    rank, made = _candidates(symbols, sequence, begin, end, table, skip)
-    while len(symbols):
-        starts = np.flatnonzero(np.concatenate(([True], sequence[1:] != sequence[:-1])))
-        lowest = np.minimum.reduceat(rank, starts)
-        row = np.repeat(np.arange(len(starts)), np.diff(np.append(starts, len(symbols))))
-        open_ = lowest < NEVER
-        over = ~open_[row]
-        if over.any():
-            done.append((sequence[over], begin[over], symbols[over]))
-        if not open_.any():
-            break
-        hit = np.flatnonzero((rank == lowest[row]) & ~over)
-        at = hit[np.concatenate(([True], row[hit][1:] != row[hit][:-1]))]
-        symbols[at], end[at] = made[at], end[at + 1]
-        if trace is not None:
-            trace.append((sequence[at], begin[at], end[at]))
-        stay = ~over
-        stay[at + 1] = False
-        new_at = np.cumsum(stay) - 1
-        at = new_at[at]
-        symbols, sequence, begin, end, rank, made = (x[stay] for x in (symbols, sequence, begin, end, rank, made))
+    lengths = symbols.size
+    count, rounds, least = np.zeros(len(lengths), np.int64), [], 1
+    for width in WIDTHS:
+        rows = np.flatnonzero((lengths > least) & (lengths <= width))
+        least = width
+        if len(rows):
+            found = _merge_table(symbols, ends, rows, width, table, left_out)
+            rounds.append(found)
+            for row, _ in found:
+                count[row] += 1
+    out = Ragged(np.zeros(count.sum(), np.int64), count)
+    for found in rounds:
+        # a row merges in every round until it is done, so the rounds are the order
+        for k, (row, merge) in enumerate(found):
+            out.flat[out.first[row] + k] = merge
+    return out
+
+
+def _merge_table(symbols: Ragged, ends: Ragged, rows: np.ndarray, width: int, table: PairTable, left_out: np.ndarray) -> list:
+    """Each round's merges (rows and merges), with a column per row and a line per place.
+
+    The last line stands for what is before a row's first symbol and, as every place behind its end, holds no symbol.
+    """
+    n = len(rows)
+    place = np.arange(width + 1)[:, None]
+    cell = np.minimum(symbols.first[rows] + place, len(symbols.flat) - 1)
+    after = np.where(place < symbols.size[rows], ends.flat[cell], 0).ravel()
+    value = np.where(after > 0, symbols.flat[cell].ravel(), -1).astype(np.int32)
+    before, best = np.full(len(after), width), np.full(len(after), NEVER, np.int32)
+    made = np.full(len(after), -1, np.int32)
+
+    def keys(left: np.ndarray, right: np.ndarray, start: np.ndarray, end: np.ndarray, column: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Rank and place of candidates as one number, and their results."""
+        rank, result = table.find(left, right)
+        at = np.flatnonzero(rank < NEVER)
+        start, code = start[at], start[at] << BITS | end[at]
+        keep = np.ones(len(at), bool)
+        for skipped in left_out:
+            keep &= skipped[rows[column[at]]] != code
+        key = np.full(len(rank), NEVER, np.int32)
+        key[at[keep]] = rank[at[keep]] << BITS | start[keep]
+        return key, result
+
+    live = np.flatnonzero(after)
+    start, column = live // n, live % n
+    right = after[live] * n + column
+    before[right] = start
+    best[live], made[live] = keys(value[live], value[right], start, after[right], column)
+    # rows that are done leave the table of the best candidates, the others keep their columns in the rest
+    best, mine, found = best.reshape(width + 1, n), np.arange(n), []
+    while True:
+        low = best.min(axis=0)
+        open_ = np.flatnonzero(low < NEVER)
+        if not len(open_):
+            return found
+        if 4 * len(open_) < 3 * len(mine):
+            best, mine, low = best[:, open_], mine[open_], low[open_]
+            open_ = np.arange(len(mine))
+        column, left = mine[open_], (low[open_] & LOW).astype(np.int64)
+        at = left * n + column
+        mid, begin = after[at], before[at]
+        end = after[mid * n + column]
+        beyond = end * n + column
+        new = made[at]
+        value[at], after[at], before[beyond], after[mid * n + column] = new, end, left, 0
+        found.append((rows[column], new.astype(np.int64) << 3 * BITS | mid << 2 * BITS | left << BITS | end))
         # only the pairs beside a new symbol change
-        for p in (at, at[at > 0] - 1):
-            q = np.minimum(p + 1, len(symbols) - 1)
-            r, m = table.find(symbols[p], symbols[q])
-            bad = (q == p) | (sequence[p] != sequence[q])
-            r[bad] = NEVER
-            test = np.flatnonzero(r < NEVER)
-            r[test[skip(sequence[p[test]], begin[p[test]], end[q[test]])]] = NEVER
-            rank[p], made[p] = r, m
-    if not done:
-        return symbols, np.zeros(len(lengths), np.int64)
-    sequence, begin, symbols = (np.concatenate(x) for x in zip(*done))
-    order = np.lexsort((begin, sequence))
-    return symbols[order], np.bincount(sequence, minlength=len(lengths))
-
-
-def _candidates(symbols, sequence, begin, end, table, skip):
-    rank, made = np.full(len(symbols), NEVER, np.int32), np.full(len(symbols), -1, np.int32)
-    if len(symbols) > 1:
-        r, m = table.find(symbols[:-1], symbols[1:])
-        r[sequence[1:] != sequence[:-1]] = NEVER
-        test = np.flatnonzero(r < NEVER)
-        r[test[skip(sequence[test], begin[test], end[test + 1])]] = NEVER
-        rank[:-1], made[:-1] = r, m
-    return rank, made
+        start = np.concatenate((begin, left))
+        key, result = keys(
+            np.concatenate((value[begin * n + column], new)), np.concatenate((new, value[beyond])),
+            start, np.concatenate((end, after[beyond])), np.concatenate((column, column)),
+        )
+        best[mid, open_] = NEVER
+        best[start, np.concatenate((open_, open_))] = key
+        made[start * n + np.concatenate((column, column))] = result

@@ -28,6 +28,7 @@ from storyloom.llm.op7_line_dedup import line_dedup, without_shared_lines
 from storyloom.llm.op8_licences import KNOWN, licence_scan
 from storyloom.llm.op9_exact_topk import top_products
 from storyloom.llm.op10_sentencepiece import decode, encode, keyed, pieces, segmentations
+from storyloom.llm.ragged import LOW, PairTable, Ragged, agenda, merge_leftmost, merged
 
 WORD_FILE, PIECE_FILE = public_tokenizers.path("word_bpe_49k.json"), public_tokenizers.path("piece_bpe_32k.model")
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, row string, size long, score double, key string, h1 long"
@@ -473,3 +474,42 @@ def test_dropout_against_a_plain_search(spark, sf_dir):
     for rate in (0.1, 0.5):
         got = lists(find.encode([t for _, t in rows], rate, 3, [i for i, _ in rows]))
         assert got == [plain_pieces(find, t, rate, 3, i) for i, t in rows]
+
+
+def test_dropout_goes_on_from_its_parent(monkeypatch):
+    """A segmentation looks up the pairs behind the merge that was left out, not those of its whole chunk again."""
+    find, looked, made = pieces(PIECE_FILE), [], []
+    lookup, cut = find.table.find, find.cut
+    monkeypatch.setattr(find.table, "find", lambda a, b: looked.append(len(a)) or lookup(a, b))
+    monkeypatch.setattr(find, "cut", lambda *x: made.append(cut(*x)) or made[-1])
+    find.encode(["internationalisation counterrevolutionaries tokenisers " * 2_000], 0.3, 5, [7])
+    assert len(made[0][1].size) > 10_000 and sum(looked) < 30 * len(made[0][1].size)
+
+
+def test_merge_leftmost_against_the_queue():
+    """Equal ranks, new pairs that rank before their makers, every length, left-out spans, and rows begun before."""
+    rng = np.random.default_rng(4)
+    pairs = rng.permutation(900)[:500]
+    table = PairTable(pairs // 30, pairs % 30, rng.integers(0, 60, 500), rng.integers(0, 30, 500), 30)
+    size = np.concatenate((np.arange(1, LOW + 1), rng.integers(1, LOW + 1, 400)))
+    symbols = Ragged(rng.integers(-1, 30, size.sum()).astype(np.int32), size)
+    ends = Ragged(np.arange(size.sum()) - np.repeat(symbols.first, size) + 1, size)
+    start = rng.integers(0, size, (5, len(size)))
+    left_out = start << 6 | np.minimum(start + rng.integers(2, 4, start.shape), size)
+    merges = merge_leftmost(symbols, ends, table, left_out)
+
+    def rows(value, end):
+        return [value.flat[a:b][end.flat[a:b] > 0].tolist() for a, b in zip(value.first, value.first + size)]
+
+    got = rows(*merged(symbols, ends, merges.flat, merges.size))
+    skipped = [set(c.tolist()) for c in left_out.T]
+    want = [
+        agenda(symbols.flat[a : a + n].tolist(), table, lambda i, j: (i << 6 | j) in skip)  # noqa: B023
+        for a, n, skip in zip(symbols.first, size, skipped)
+    ]
+    assert got == want and merges.size.max() > 20
+    some = rng.integers(0, merges.size + 1)
+    begun = merged(symbols, ends, merges.flat[merges.places(np.arange(len(size)), some)], some)
+    rest = merge_leftmost(*begun, table, left_out)
+    assert (rest.size == merges.size - some).all()
+    assert rows(*merged(*begun, rest.flat, rest.size)) == want
