@@ -28,20 +28,27 @@ def table_bytes(table: DataFrame) -> int:
     return table.agg(F.sum(size)).first()[0] or 0
 
 
-def lookup_join(df: DataFrame, lookup: DataFrame, on: str, how: str = "left", most_bytes: int = BROADCAST_BYTES) -> DataFrame:
+def lookup_join(
+    df: DataFrame, lookup: DataFrame, on: str, how: str = "left", most_bytes: int = BROADCAST_BYTES, *, salts: int = SALTS
+) -> DataFrame:
     """Join a large table with a lookup table on one column.
 
     The lookup table is measured: up to ``most_bytes`` it is broadcast. Beyond that both sides are shuffled on the
-    key and a salt, the lookup table once per salt, so that a key holding a third of the rows is spread over ``SALTS``
-    tasks. The salt is a hash of the row's other columns: a task that runs again deals its rows as before.
+    key and a salt, the lookup table once per salt, so that a key holding a third of the rows is spread over ``salts``
+    tasks. The salt is a hash of the row's other columns: a task that runs again deals its rows as before. Where no key
+    holds many rows, one salt is enough.
     """
     if how not in ("left", "inner", "left_semi", "left_anti"):
         raise ValueError(f"unsupported join: {how}")
     if table_bytes(lookup) <= most_bytes:
         return df.join(F.broadcast(lookup), on, how)
+    if salts == 1:
+        return df.join(lookup.hint("merge"), on, how)
     # Maps have no hash, but their text does.
     as_hashed = lambda f: F.to_json(f"`{f.name}`") if "map<" in f.dataType.simpleString() else F.col(f"`{f.name}`")
     others = [as_hashed(f) for f in df.schema.fields if f.name != on]
-    salted = df.withColumn("_salt", F.pmod(F.xxhash64(F.lit(1), *others), F.lit(SALTS)).cast("int"))
-    copies = lookup.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    salted = df.withColumn("_salt", F.pmod(F.xxhash64(F.lit(1), *others), F.lit(salts)).cast("int"))
+    copies = lookup.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    # Spark takes a compressed file's bytes for the table's, without the copies, and would broadcast them
+    copies = copies.hint("merge")
     return salted.join(copies, [on, "_salt"], how).drop("_salt")

@@ -6,14 +6,17 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from storyloom import lexicons
 from storyloom.functions.let import let
+from storyloom.functions.lookup import hash_lookup
 from storyloom.functions.text import clean_text
 from storyloom.functions.tokens import split_letters, suffix_lemma
-from storyloom.operators.joins import lookup_join, lookup_table
+from storyloom.operators.joins import lookup_join, lookup_table, word_table
 from storyloom.session import scratch_dir
 from storyloom.sources.files import kept_table
 
 # Words of a text that are looked up together; it bounds the table that a row carries.
 RUN = 512
+# Words that are looked up on the row, and the letters that one of them may have: what the driver holds of them.
+FREQUENT, LONGEST = 8_192, 64
 
 
 def word_lemmas(words: DataFrame, lemmas: DataFrame, suffix_rules=lexicons.LEMMA_SUFFIXES) -> DataFrame:
@@ -46,28 +49,50 @@ def count_tokens(df: DataFrame, tables, text: str = "narrative", min_length: int
     return named.groupBy("token").agg(F.sum("n").alias("n"))
 
 
+def _frequent(counts: DataFrame, changed: DataFrame) -> dict[str, str]:
+    """The ``FREQUENT`` most frequent words with their lemmas, themselves where they do not change. Very long words stay out."""
+    short = lambda c: F.length(c) <= LONGEST
+    words = [r["token"] for r in counts.filter(short("token")).orderBy(F.desc("n"), "token").limit(FREQUENT).select("token").collect()]
+    found = changed.join(F.broadcast(word_table(changed.sparkSession, words, "token")), "token")
+    # a word with two lemmas is left to the join, which refuses it
+    rows = found.groupBy("token").agg(F.when((F.count(F.lit(1)) == 1) & short(F.max("lemma")), F.max("lemma")).alias("lemma")).collect()
+    lemmas = {w: w for w in words} | {r["token"]: r["lemma"] for r in rows}
+    return {w: x for w, x in lemmas.items() if x is not None}
+
+
 def add_tokens_by_words(
     df: DataFrame, key: str, lemmas: DataFrame, text: str = "narrative", normalise: bool = True, stop=lexicons.STOP_WORDS,
     suffix_rules=lexicons.LEMMA_SUFFIXES, min_length: int = 2,
 ) -> DataFrame:
     """Add ``tokens`` and ``processed_text`` as ``functions.tokens.add_tokens`` does, with a lemma table of any size.
 
-    Texts are cut into runs of at most ``RUN`` words, which are written. One pass over the distinct words of all of them
-    gives the lemmas, written as well; each run is joined with the lemmas of its own distinct words, by broadcast or by salt as the
-    table's bytes say, and the runs of a text are put together again. ``key`` names rows; each must have its own.
+    The texts' words are written, then counted, and one pass over the different words gives the lemmas, written as well. The
+    ``FREQUENT`` most frequent words are looked up by an expression on the row; what is left are words of which none holds
+    more than one in ``FREQUENT``, so that the distinct words of each run of ``RUN`` words are joined with the lemmas without
+    salt, by broadcast or by merge as the table's bytes say. A text gets the lemmas of its runs by ``key``; rows without a key are dropped.
     """
     spark = df.sparkSession
     words = split_letters(clean_text(F.col(text), normalise=normalise))
-    runs = df.select(key, words.alias("w")).select(
-        key, F.explode(F.sequence(F.lit(0), F.greatest(F.size("w") - 1, F.lit(0)), F.lit(RUN))).alias("at"), "w"
-    )
-    runs = kept_table(runs.select(key, "at", F.slice("w", F.col("at") + 1, F.lit(RUN)).alias("w")), scratch_dir(spark, "word-runs"))
-    table = word_lemmas(runs.select(F.explode("w").alias("token")), lemmas, suffix_rules)
-    table = kept_table(table, scratch_dir(spark, "word-lemmas"))
-    own = lookup_join(runs.select(key, "at", F.explode(F.array_distinct("w")).alias("token")), table, "token", "inner")
-    own = own.groupBy(key, "at").agg(F.map_from_entries(F.collect_list(F.struct("token", "lemma"))).alias("t"))
-    looked_up = F.when(F.col("t").isNull(), F.col("w")).otherwise(F.transform("w", lambda w: F.coalesce(F.try_element_at("t", w), w)))
-    runs = runs.join(own, [key, "at"], "left").select(key, "at", F.filter(looked_up, lambda w: _kept(w, stop, min_length)).alias("w"))
-    whole = F.flatten(F.transform(F.sort_array(F.collect_list(F.struct("at", "w"))), lambda r: r["w"]))
-    tokens = runs.groupBy(key).agg(whole.alias("tokens"))
-    return df.join(tokens, key).withColumn("processed_text", F.array_join("tokens", " "))
+    # words hold letters only, and a string takes less room than an array
+    texts = kept_table(df.select(key, F.array_join(words, " ").alias("w")).filter(F.col(key).isNotNull() & (F.col("w") != "")), scratch_dir(spark, "text-words"))
+    texts = texts.select(key, F.split("w", " ").alias("w"))
+    counts = texts.select(F.explode("w").alias("token")).groupBy("token").agg(F.count(F.lit(1)).alias("n"))
+    counts = kept_table(counts, scratch_dir(spark, "word-counts"))
+    table = kept_table(word_lemmas(counts, lemmas, suffix_rules), scratch_dir(spark, "word-lemmas"))
+    frequent = hash_lookup(_frequent(counts, table), "string")
+    starts = lambda w: F.sequence(F.lit(0), F.greatest(F.size(w) - 1, F.lit(0)), F.lit(RUN))
+    run = lambda w, at: F.slice(w, at + 1, F.lit(RUN))
+    rest = texts.select(key, F.explode(starts("w")).alias("at"), "w").select(key, "at", F.filter(run("w", F.col("at")), lambda w: frequent(w).isNull()).alias("w"))
+    own = lookup_join(rest.select(key, "at", F.explode(F.array_distinct("w")).alias("token")), table, "token", "inner", salts=1)
+    # one shuffle by text; a set, as rows of one key share their words
+    own = own.repartition(key).groupBy(key, "at").agg(F.map_from_entries(F.collect_set(F.struct("token", "lemma"))).alias("t"))
+    own = own.groupBy(key).agg(F.map_from_entries(F.collect_list(F.struct("at", "t"))).alias("_lemmas"))
+
+    def lemmas_of(w):
+        looked_up = lambda t, ws: F.transform(ws, lambda x: F.coalesce(frequent(x), F.try_element_at(t, x), x))
+        of_run = lambda at: let(F.try_element_at("_lemmas", at), lambda t: looked_up(t, run(w, at)))
+        return F.flatten(F.transform(starts(w), of_run))
+
+    tokens = F.filter(let(words, lemmas_of), lambda w: _kept(w, stop, min_length))
+    rows = df.filter(F.col(key).isNotNull()).join(own.hint("merge"), key, "left").withColumn("tokens", tokens).drop("_lemmas")
+    return rows.withColumn("processed_text", F.array_join("tokens", " "))

@@ -70,3 +70,45 @@ def test_counted_tokens_equal_those_of_the_texts(spark):
         want = {r["token"]: r["n"] for r in value_counts(long_tokens(add_all_tokens(rows(spark), t)), "token").collect()}
         got = {r["token"]: r["n"] for r in count_tokens(rows(spark), t).collect()}
         assert got == want and got
+
+
+def test_a_table_over_the_limit_is_not_broadcast(spark, tmp_path):
+    from tests.conftest import plan_text
+
+    # Spark takes the file's few bytes for the table's and would broadcast it, with a copy for each salt
+    spark.createDataFrame([(f"w{i}", "x") for i in range(2_000)], "token string, lemma string").write.parquet(str(tmp_path / "t"))
+    table = spark.read.parquet(str(tmp_path / "t"))
+    words = spark.createDataFrame([("w1", 1), ("w1", 2), ("y", 3)], "token string, n int")
+    for salts in (1, joins.SALTS):
+        out = joins.lookup_join(words, table, "token", "inner", 1_000, salts=salts)
+        assert "SortMergeJoin" in plan_text(out) and "BroadcastHashJoin" not in plan_text(out)
+        assert sorted(tuple(r) for r in out.collect()) == [("w1", 1, "x"), ("w1", 2, "x")]
+
+
+@pytest.mark.parametrize("frequent", [0, 2, 100])
+def test_frequent_and_other_words_get_their_lemmas(spark, monkeypatch, frequent):
+    from storyloom.operators import word_lemmas as by_words
+
+    monkeypatch.setattr(by_words, "FREQUENT", frequent)
+    monkeypatch.setattr(by_words, "RUN", 3)
+    texts = [(1, "banks banks banks loans loans of cards"), (1, "cards of others and rare banks"), (None, "banks"), (2, ""), (3, "loans " * 7 + "cards")]
+    df = spark.createDataFrame(texts, "complaint_id long, narrative string")
+    table = spark.createDataFrame([("banks", "bank"), ("loans", "loan"), ("cards", "card" * 40), ("rare", "of")], "token string, lemma string")
+    got = by_words.add_tokens_by_words(df, "complaint_id", table, stop=("of",), suffix_rules=None)
+    card = "card" * 40
+    # rows that share a key each keep their own words
+    assert sorted((r["complaint_id"], r["tokens"]) for r in got.collect()) == [
+        (1, ["bank", "bank", "bank", "loan", "loan", card]), (1, [card, "others", "and", "bank"]), (2, []), (3, ["loan"] * 7 + [card]),
+    ]
+
+
+def test_words_without_salt_are_none_of_the_frequent(spark, monkeypatch):
+    from storyloom.operators import word_lemmas as by_words
+
+    seen = []
+    join = by_words.lookup_join
+    monkeypatch.setattr(by_words, "lookup_join", lambda df, *a, **o: seen.append(({r["token"] for r in df.collect()}, o)) or join(df, *a, **o))
+    monkeypatch.setattr(by_words, "FREQUENT", 2)
+    df = spark.createDataFrame([(i, "hot hotter " + "word " * (i == 3)) for i in range(9)], "complaint_id long, narrative string")
+    by_words.add_tokens_by_words(df, "complaint_id", spark.createDataFrame([("hot", "warm")], "token string, lemma string")).collect()
+    assert seen == [({"word"}, {"salts": 1})]
