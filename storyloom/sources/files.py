@@ -57,9 +57,9 @@ def save_stage(df: DataFrame, path: str, partition_by: tuple = ()) -> dict:
     return report
 
 
-def kept_table(df: DataFrame, path: str) -> DataFrame:
+def kept_table(df: DataFrame, path: str, compression: str | None = None) -> DataFrame:
     """A table written to a shared folder and read back: later jobs read files, and lost executors cost nothing of it."""
-    df.write.parquet(path)
+    df.write.parquet(path, compression=compression)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

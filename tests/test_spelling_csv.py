@@ -112,3 +112,82 @@ def test_many_documents_make_many_csv_files(spark, sf_dir, monkeypatch):
     got = sorted(map(tuple, queries.QUERIES["csv_split_import"](spark, sf_dir).collect()), key=repr)
     files = [f for f in spark.read.text(folders[0]).inputFiles() if f.endswith(".txt")]
     assert got == want and len(files) > 1
+
+
+def test_records_and_effects_of_splits(monkeypatch):
+    import pyarrow as pa
+
+    from storyloom.sources import split_csv
+
+    rng = random.Random(4)
+    for trial in range(300):
+        monkeypatch.setattr(split_csv, "HELD", rng.choice([1, 20, 1 << 20]))
+        # a line ends outside, ends inside, keeps the state or turns it
+        rows, want, effects = [], {}, []
+        for split in range(rng.randint(1, 3)):
+            start, n = rng.random() < 0.5, rng.randint(1, 12)
+            lines = [(f"line{split}-{i}", *rng.choice([(False, False), (True, True), (False, True), (True, False)])) for i in range(n)]
+            rows += [{"file": "f", "split": split, "value": v, "e0": e0, "e1": e1, "start": start} for v, e0, e1 in lines]
+            state, number = start, 0
+            for v, e0, e1 in lines:
+                number += not state
+                want.setdefault((split, number), []).append(v)
+                state = e1 if state else e0
+            both = []
+            for state in (False, True):
+                begun = 0
+                for _, e0, e1 in lines:
+                    begun += not state
+                    state = e1 if state else e0
+                both += [state, begun]
+            effects.append((split, both[0], both[2], both[1], both[3]))
+        size = rng.randint(1, 9)
+        kind = pa.schema([("file", pa.string()), ("split", pa.int64()), ("value", pa.string()), ("e0", pa.bool_()), ("e1", pa.bool_()), ("start", pa.bool_())])
+        batches = [pa.RecordBatch.from_pylist(rows[i : i + size], kind) for i in range(0, len(rows), size)]
+        batches.insert(rng.randint(0, len(batches)), pa.RecordBatch.from_pylist([], kind))
+        out = [r for b in split_csv._records(iter(batches)) for r in b.to_pylist()]
+        got = {}
+        for r in sorted(out, key=lambda r: (r["split"], r["number"], r["at"])):
+            got.setdefault((r["split"], r["number"]), []).append(r["value"])
+            assert not r["whole"] or r["number"] > 0
+        assert {k: "\n".join(v) for k, v in got.items()} == {k: "\n".join(v) for k, v in want.items()}
+        # a whole record is one row
+        whole = [(r["split"], r["number"]) for r in out if r["whole"]]
+        assert len(whole) == len(set(whole)) and all(len(got[k]) == 1 for k in whole)
+        seen = [tuple(r[c] for c in ("split", "end0", "end1", "n0", "n1")) for b in split_csv._effects(iter(batches)) for r in b.to_pylist()]
+        assert seen == effects
+
+
+def test_long_records_go_in_pieces(spark, tmp_path):
+    # one record over many splits and batches, others after it
+    text = "\n".join(f"line {i}" for i in range(30_000))
+    (tmp_path / "x.csv").write_text(f'a,b\n1,"{text}"\n2,"x\ny"\n3,z\n')
+    schema = T.StructType([T.StructField("a", T.StringType()), T.StructField("b", T.StringType())])
+    size = "spark.sql.files.maxPartitionBytes"
+    before = spark.conf.get(size)
+    for splits in ("50k", "128m"):
+        spark.conf.set(size, splits)
+        try:
+            got = sorted(map(tuple, read_split_csv(spark, str(tmp_path), schema).collect()))
+        finally:
+            spark.conf.set(size, before)
+        assert got == [("1", text), ("2", "x\ny"), ("3", "z")]
+    assert spark.conf.get("spark.sql.files.minPartitionNum", None) is None
+
+
+def test_the_split_reader_writes_the_text_once(spark, sf_dir, monkeypatch):
+    from checks import queries
+    from storyloom.session import path_bytes
+    from storyloom.sources import split_csv
+    from tests.conftest import plan_text
+
+    folders = []
+    for module in (queries, split_csv):
+        keep = module.scratch_dir
+        monkeypatch.setattr(module, "scratch_dir", lambda s, name, keep=keep: folders.append(keep(s, name)) or folders[-1])
+    out = queries.QUERIES["csv_split_import"](spark, sf_dir)
+    texts, others = folders[0], folders[1:]
+    # it wrote the lines, the numbered lines, the records and the result, 1.77 times the files' bytes together
+    assert sum(path_bytes(spark, f) for f in others) < 0.75 * path_bytes(spark, texts)
+    # and dealt whole texts by file and by split
+    assert "RoundRobin" not in plan_text(out) and "SortMergeJoin" not in plan_text(out)
